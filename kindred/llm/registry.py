@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import packing, sharding, urlfilter
+from kindred.llm import jaccard, lm, packing, sharding, urlfilter
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -30,10 +30,27 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under 4-word shingles at a similarity of 0.85."""
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+def remainder(n: int):
+    """crc32 of the doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under the interpolated word model."""
+    return lm.interpolated_scores(table(spark, sf_dir, "documents"), remainder(7) != 2)
+
+
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_url_rules": op7_url_rules,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_deleted_interpolation": op9_deleted_interpolation,
 }
 
 ORACLES = {
