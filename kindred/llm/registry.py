@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import jaccard, lm, packing, sharding, urlfilter
+from kindred.llm import jaccard, language, lm, packing, sharding, toxicity, urlfilter
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -45,12 +45,28 @@ def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.interpolated_scores(table(spark, sf_dir, "documents"), remainder(7) != 2)
 
 
+def op5_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = (remainder(4) == 2).alias("held_out")
+    return language.predict_language(docs, remainder(4) != 2).select("doc_id", held_out, "lang_pred", "score")
+
+
+def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels of three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), remainder(4) != 2)
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_word_first_language": op5_word_first_language,
     "op6_minimax_shards": op6_minimax_shards,
     "op7_url_rules": op7_url_rules,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_deleted_interpolation": op9_deleted_interpolation,
+    "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
 
 ORACLES = {
