@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import jaccard, language, lm, packing, sharding, toxicity, urlfilter
+from kindred.llm import jaccard, language, lm, packing, positional, sharding, toxicity, urlfilter
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document stands in the benchmark's items."""
+    return positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_positional_index": op3_positional_index,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_word_first_language": op5_word_first_language,
     "op6_minimax_shards": op6_minimax_shards,
@@ -70,6 +76,35 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_positional_index": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), items AS (
+            SELECT item_id, w, least(len(w), 10) AS n, unnest(range(greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS phrase FROM items
+        ), sizes AS (
+            SELECT DISTINCT n FROM windows
+        ), places AS (
+            SELECT doc_id, n, unnest(range(len(w) - n + 1)) AS p, w FROM d, sizes WHERE len(w) >= n
+        ), runs AS (
+            SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS phrase FROM places
+        ), hits AS (
+            SELECT r.doc_id, r.n, r.p, v.item_id FROM runs r JOIN windows v ON r.n = v.n AND r.phrase = v.phrase
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM hits) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+            sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
+    """,
     "op7_url_rules": r"""
         WITH urls AS (
             SELECT page_id,
