@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import jaccard, language, lm, packing, positional, sharding, toxicity, urlfilter
+from kindred.llm import jaccard, language, lm, media, packing, positional, sharding, toxicity, urlfilter
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes as lossless WebP, read back."""
+    return media.read_webp(media.store_as_webp(table(spark, sf_dir, "documents")))
+
+
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of every document stands in the benchmark's items."""
     return positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
@@ -65,6 +70,7 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lossless_webp": op1_lossless_webp,
     "op3_positional_index": op3_positional_index,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_word_first_language": op5_word_first_language,
