@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import jaccard, language, lm, media, packing, positional, sharding, toxicity, urlfilter
+from kindred.llm import jaccard, language, lm, media, packing, positional, pseudonyms, sharding, toxicity, urlfilter
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -19,6 +19,11 @@ def op1_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_webp(media.store_as_webp(table(spark, sf_dir, "documents")))
 
 
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms for its personal numbers and dates."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of every document stands in the benchmark's items."""
     return positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
@@ -71,6 +76,7 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lossless_webp": op1_lossless_webp,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
     "op3_positional_index": op3_positional_index,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_word_first_language": op5_word_first_language,
