@@ -1,29 +1,56 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences: each stage filters, cleans or packs all that the one before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.llm import packing
+from kindred.llm import jaccard, packing, positional, pseudonyms, toxicity
 from kindred.session import settle
 
-#: SQL can't express the token ids of the last stage.
+#: SQL can't express the toxicity model, the pseudonyms and the token ids; the stages are tested one by one.
 ORACLE_SQL = None
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents in sequences of 4096 tokens."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those that the class-conditional models call toxic. Labels of a quarter of the ids stay unread."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    return toxicity.score_toxicity(docs, labels, train).where("predicted = 0").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return jaccard.one_of_each(docs, width=5, percent=80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those that hold ten neighbouring words of a benchmark item, or all of a shorter one."""
+    return positional.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with pseudonyms for its personal numbers and dates."""
+    return pseudonyms.pseudonymise(docs).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents in as few sequences of 4096 tokens as best fit finds."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("PII", hide_personal_data),
+    ("best-fit packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = settle(docs, "stage")
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)
