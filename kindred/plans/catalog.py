@@ -1,4 +1,397 @@
-"""The engine's queries by name, and DuckDB SQL for the same rows."""
+"""The engine's queries over the driver's tables, by name, and DuckDB SQL for the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+import os
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kindred.functions import text as T
+from kindred.operators import blocking, features, metrics, model, sampling, selection, submission, truth, validation
+from kindred.plans import linkage
+from kindred.plans import views as V
+from kindred.session import settle, shared_folder
+from kindred.sources import tsv
+
+S, C, VENDOR = "source1_entity_id", "candidate_entity_id", "vendor_entity_id"
+THRESHOLD, FLOOR = 0.4, 0.9
+
+
+def _keys(spark, sf_dir, view):
+    s, v = V.sides(spark, sf_dir, view)
+    return blocking.blocking_keys(s, S), blocking.blocking_keys(v, VENDOR)
+
+
+def entity_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source 1 of both views."""
+    parts = [V.sides(spark, sf_dir, v)[0].select("entity_id", "business_name", "business_address") for v in ("part", "documents")]
+    return parts[0].unionByName(parts[1])
+
+
+def vendor_union(spark, sf_dir):
+    e = V.entities(spark, sf_dir, "part").select("entity_id", "business_name", "business_address", "k")
+    return e.where("k % 3 = 1").unionByName(e.where("k % 3 = 2")).drop("k")
+
+
+def tsv_roundtrip(spark, sf_dir):
+    """Entities written as tab-separated text in the shared folder and read again."""
+    path = f"{shared_folder(spark)}/kindred/roundtrip-{os.urandom(8).hex()}"
+    tsv.write_tsv(V.entities(spark, sf_dir, "part").select("entity_id", "business_name", "business_address", F.lit("US").alias("country")), path, single_file=False)
+    return tsv.read_entities(spark, path)
+
+
+def norm_name(spark, sf_dir, view):
+    return V.entities(spark, sf_dir, view).select("entity_id", T.normalize_name(F.col("business_name")).alias("normalized_name"))
+
+
+def norm_address(spark, sf_dir, view):
+    return V.entities(spark, sf_dir, view).select("entity_id", T.normalize_address(F.col("business_address")).alias("normalized_address"))
+
+
+def alias_replacement(spark, sf_dir):
+    normal = T.normalize_name(F.concat_ws(" ", "business_address", F.lit("street street road lane")))
+    return V.entities(spark, sf_dir, "part").select("entity_id", T.abbreviate_by_replacement(normal).alias("address"))
+
+
+def first_word_number(spark, sf_dir):
+    normal = T.normalize_name(F.col("business_name"))
+    return V.entities(spark, sf_dir, "part").select("entity_id", T.first_word(normal).alias("first_word"), T.first_number(F.col("business_address")).alias("first_number"))
+
+
+def legal_name(spark, sf_dir):
+    return V.entities(spark, sf_dir, "part").select("entity_id", T.strip_legal_suffix(T.normalize_name(F.col("business_name"))).alias("legal_name"))
+
+
+def blocking_keys(spark, sf_dir, view):
+    return blocking.blocking_keys(V.entities(spark, sf_dir, view))
+
+
+def join_kind(spark, sf_dir, kind):
+    return blocking.candidate_matches(*_keys(spark, sf_dir, "part"), kinds=[kind]).select(S, VENDOR, "length_gap")
+
+
+def candidate_matches_union(spark, sf_dir, view):
+    return blocking.candidate_matches(*_keys(spark, sf_dir, view))
+
+
+def candidate_dedup(spark, sf_dir, view):
+    return blocking.deduplicated(blocking.candidate_matches(*_keys(spark, sf_dir, view)))
+
+
+def similarity_score(spark, sf_dir, view):
+    s, v = _keys(spark, sf_dir, view)
+    scored = blocking.similarity_score(blocking.deduplicated(blocking.candidate_matches(s, v)), s, v)
+    return scored.select(S, VENDOR, F.round("similarity_score", 6).alias("similarity_score"))
+
+
+def candidates_top(spark, sf_dir, view, k):
+    return blocking.candidate_pairs(*V.sides(spark, sf_dir, view), top_k=k, digits=9)
+
+
+def _pairs(spark, sf_dir, view="part", k=5):
+    return candidates_top(spark, sf_dir, view, k).withColumnRenamed(VENDOR, C)
+
+
+def attach_attributes(spark, sf_dir):
+    return features.attach_attributes(*V.sides(spark, sf_dir, "part"), candidates_top(spark, sf_dir, "part", 5))
+
+
+def truth_long(spark, sf_dir):
+    return truth.truth_pairs(V.truth_lists(spark, sf_dir, "part"))
+
+
+def truth_subset(spark, sf_dir):
+    ids = sampling.sample_records(V.sides(spark, sf_dir, "part")[0].select("entity_id"), 100)
+    return truth.truth_pairs(V.truth_lists(spark, sf_dir, "part"), ids)
+
+
+def labels(spark, sf_dir):
+    return truth.attach_labels(_pairs(spark, sf_dir), truth_long(spark, sf_dir))
+
+
+BUILTIN = ["name_length_diff", "address_length_diff", "address_digit_match", "exact_name_key_match", "word_digit_key_match", "exact_address_key_match", "legal_name_key_match", "blocking_key_match_count"]
+
+
+def features_builtin(spark, sf_dir):
+    return features.builtin_features(features.normalized_pairs(attach_attributes(spark, sf_dir))).select(S, C, *BUILTIN)
+
+
+def features_jaro_winkler(spark, sf_dir):
+    made = features.engineer_features(attach_attributes(spark, sf_dir).where("name_1 <> '' and name_2 <> ''"))
+    return made.select(S, C, F.round(F.col("name_jaro_winkler").cast("double"), 3).alias("name_jaro_winkler"))
+
+
+def features_fuzzy(spark, sf_dir):
+    return features.engineer_features(attach_attributes(spark, sf_dir)).select(S, C, *features.FEATURE_COLUMNS)
+
+
+def _scored(spark, sf_dir):
+    return V.pseudo_probability(_pairs(spark, sf_dir))
+
+
+def threshold_filter(spark, sf_dir):
+    return _scored(spark, sf_dir).where(F.col("probability") >= THRESHOLD).select(S, C)
+
+
+def acceptance_mask(spark, sf_dir):
+    return selection.accepted(_scored(spark, sf_dir), THRESHOLD, FLOOR).select(S, C)
+
+
+def relative_max(spark, sf_dir):
+    return _scored(spark, sf_dir).groupBy(S).agg(F.max("probability").alias("best"), F.count("*").alias("n"))
+
+
+def candidate_submission(spark, sf_dir):
+    return submission.candidate_submission(V.sides(spark, sf_dir, "part")[0], _pairs(spark, sf_dir))
+
+
+def threshold_submission(spark, sf_dir):
+    return submission.threshold_submission(V.sides(spark, sf_dir, "part")[0], _scored(spark, sf_dir), THRESHOLD)
+
+
+def match_submission(spark, sf_dir):
+    return submission.match_submission(V.sides(spark, sf_dir, "part")[0], _scored(spark, sf_dir), THRESHOLD, FLOOR)
+
+
+def micro_f05(spark, sf_dir):
+    rows = truth.attach_labels(_scored(spark, sf_dir), truth_long(spark, sf_dir)).withColumn("predicted", (F.col("probability") >= THRESHOLD).cast("int"))
+    return metrics.micro_f05(rows).select(F.round("f05", 6).alias("f05"))
+
+
+def macro_f05(spark, sf_dir):
+    ids = V.sides(spark, sf_dir, "part")[0].select(F.col("entity_id").alias(S))
+    return metrics.macro_f05(ids, truth_long(spark, sf_dir), acceptance_mask(spark, sf_dir)).select(F.round("macro_f05", 6).alias("macro_f05"))
+
+
+def threshold_sweep(spark, sf_dir):
+    ids = V.sides(spark, sf_dir, "part")[0].select(F.col("entity_id").alias(S))
+    grid = selection.threshold_grid(ids, settle(truth_long(spark, sf_dir), "truth"), settle(_scored(spark, sf_dir), "scored"))
+    return grid.select(F.round("threshold", 2).alias("threshold"), "relative", F.round("score", 6).alias("score"))
+
+
+def select_threshold(spark, sf_dir):
+    """Chosen where the id's number is even, scored where it is odd."""
+    ids = V.sides(spark, sf_dir, "part")[0].select(F.col("entity_id").alias(S))
+    split = ids.withColumn("half", F.when(F.substring(S, 4, 20).cast("long") % 2 == 0, "a").otherwise("b"))
+    c = selection.select_threshold(ids, settle(truth_long(spark, sf_dir), "truth"), settle(_scored(spark, sf_dir), "scored"), split=split)
+    values = [F.lit(round(x, 6)).alias(n) for x, n in ((c.threshold, "threshold"), (c.relative, "relative"), (c.selection_score, "selection_score"), (c.heldout_score, "heldout_score"))]
+    return spark.range(1).select(values)
+
+
+def train_sample(spark, sf_dir):
+    return sampling.sample_records(V.sides(spark, sf_dir, "part")[0].select("entity_id", "business_name", "business_address"), 100)
+
+
+def id_halves(spark, sf_dir):
+    return sampling.halves(V.sides(spark, sf_dir, "part")[0].select(F.col("entity_id").alias(S)))
+
+
+def group_folds(spark, sf_dir):
+    return sampling.group_folds(_pairs(spark, sf_dir), S, 5)
+
+
+def oof_scores(spark, sf_dir):
+    rows = settle(features.engineer_features(truth.attach_labels(attach_attributes(spark, sf_dir), truth_long(spark, sf_dir))), "rows")
+    return model.out_of_fold(rows, 3, model.Trees(iterations=3, depth=3)).select(S, C, "label", "probability")
+
+
+def validate_submission(spark, sf_dir):
+    """Broken rules in lists with faults put in on purpose: repeats, foreign ids, rows too many and too few."""
+    ids = V.sides(spark, sf_dir, "part")[0].select("entity_id", "k")
+    lists = candidate_submission(spark, sf_dir).select(F.col(S), T.id_list(F.col("candidate_entity_ids")).alias("ids")).join(ids.select(F.col("entity_id").alias(S), "k"), S)
+    faults = F.when(F.col("k") % 10 == 0, F.array(F.lit("S1-1"), F.lit("S2-1"), F.lit("S2-1"), F.lit("X9"), F.lit("S3-0"))).otherwise(F.array().cast("array<string>"))
+    rows = lists.select(S, F.concat("ids", faults).alias("ids"), "k")
+    rows = rows.where("k % 14 <> 0").union(rows.where("k % 9 = 0 and k % 14 <> 0")).select(S, "ids").union(spark.range(1).select(F.lit("S1-x"), F.array(F.lit("S2-1"))))
+    known = V.sides(spark, sf_dir, "part")[1].select(F.col("entity_id").alias("id"))
+    return validation.rule_violations(rows, ids.select(F.col("entity_id").alias("id")), known)
+
+
+def matches_beyond_candidates(spark, sf_dir):
+    wide, narrow = (submission.candidate_submission(V.sides(spark, sf_dir, "part")[0], _pairs(spark, sf_dir, k=k)).select(F.lit(1).alias("line"), S, T.id_list(F.col("candidate_entity_ids")).alias("ids")) for k in (5, 2))
+    return validation.not_among_candidates(wide, narrow)
+
+
+def sensitivity_report(spark, sf_dir):
+    options = linkage.Options(folds=2, max_candidates=5, trees=model.Trees(iterations=2, depth=3))
+    return linkage.sensitivity_report(*V.sides(spark, sf_dir, "part"), V.truth_lists(spark, sf_dir, "part"), options, (60, 10_000))
+
+
+QUERIES = {
+    "entity_scan": entity_scan,
+    "vendor_union": vendor_union,
+    "tsv_roundtrip": tsv_roundtrip,
+    "norm_name": partial(norm_name, view="part"),
+    "norm_name_documents": partial(norm_name, view="documents"),
+    "norm_address": partial(norm_address, view="part"),
+    "norm_address_documents": partial(norm_address, view="documents"),
+    "alias_replacement": alias_replacement,
+    "first_word_number": first_word_number,
+    "legal_name": legal_name,
+    "blocking_keys": partial(blocking_keys, view="part"),
+    "blocking_keys_documents": partial(blocking_keys, view="documents"),
+    "join_exact_name": partial(join_kind, kind="exact_name"),
+    "join_word_digit": partial(join_kind, kind="word_digit"),
+    "join_exact_addr": partial(join_kind, kind="exact_addr"),
+    "join_legal_name": partial(join_kind, kind="legal_name"),
+    "candidate_matches_union": partial(candidate_matches_union, view="part"),
+    "candidate_matches_documents": partial(candidate_matches_union, view="documents"),
+    "candidate_dedup": partial(candidate_dedup, view="part"),
+    "candidate_dedup_documents": partial(candidate_dedup, view="documents"),
+    "similarity_score": partial(similarity_score, view="part"),
+    "similarity_score_documents": partial(similarity_score, view="documents"),
+    "candidates_top5": partial(candidates_top, view="part", k=5),
+    "candidates_top30": partial(candidates_top, view="documents", k=30),
+    "attach_attributes": attach_attributes,
+    "truth_long": truth_long,
+    "truth_subset": truth_subset,
+    "labels": labels,
+    "features_builtin": features_builtin,
+    "features_jaro_winkler": features_jaro_winkler,
+    "features_fuzzy": features_fuzzy,
+    "threshold_filter": threshold_filter,
+    "acceptance_mask": acceptance_mask,
+    "relative_max": relative_max,
+    "candidate_submission": candidate_submission,
+    "threshold_submission": threshold_submission,
+    "match_submission": match_submission,
+    "micro_f05": micro_f05,
+    "macro_f05": macro_f05,
+    "threshold_sweep": threshold_sweep,
+    "select_threshold": select_threshold,
+    "train_sample": train_sample,
+    "id_halves": id_halves,
+    "group_folds": group_folds,
+    "oof_scores": oof_scores,
+    "validate_submission": validate_submission,
+    "matches_beyond_candidates": matches_beyond_candidates,
+    "sensitivity_report": sensitivity_report,
+}
+
+_TOP5 = V.top_sql("part", 5)
+_P = V.PROBABILITY_SQL
+_HASH = "CAST('0x' || substr(md5(entity_id || '#42'), 1, 15) AS BIGINT)"
+_F05 = "CASE WHEN hits > 0 THEN 1.25 * hits / (predicted + 0.25 * truths) ELSE 0.0 END"
+
+
+def _lists(name: str, where: str) -> str:
+    return f"""WITH {_TOP5}, p AS (SELECT s, v, {_P} AS p FROM top), q AS (SELECT *, max(p) OVER (PARTITION BY s) AS best FROM p)
+        SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT q.v, ',' ORDER BY q.v), '') AS {name}
+        FROM entities e LEFT JOIN q ON q.s = e.entity_id AND {where} WHERE e.k % 3 = 0 GROUP BY e.entity_id"""
+
+
+def _sweep(ids: str) -> str:
+    """CTEs up to cells (t, r, score) over the records of `ids`."""
+    return f"""p AS (SELECT s, v, {_P} AS p FROM top), q AS (SELECT *, max(p) OVER (PARTITION BY s) AS best FROM p),
+        grid AS (SELECT t / 100.0 AS t, r FROM range(1, 96) x(t), (VALUES (0.0), (0.5), (0.7), (0.8), (0.9), (0.95)) y(r)),
+        ids AS (SELECT entity_id AS s FROM entities WHERE k % 3 = 0 {ids}),
+        n_true AS (SELECT s, count(*) AS truths FROM truth GROUP BY s),
+        n_predicted AS (SELECT t, r, q.s, count(*) AS predicted, count(truth.v) AS hits FROM grid JOIN q ON q.p >= grid.t AND q.p >= CAST(grid.r AS DOUBLE) * q.best LEFT JOIN truth ON truth.s = q.s AND truth.v = q.v GROUP BY t, r, q.s),
+        by_id AS (SELECT g.t, g.r, i.s, coalesce(n.truths, 0) AS truths, coalesce(m.predicted, 0) AS predicted, coalesce(m.hits, 0) AS hits
+            FROM grid g CROSS JOIN ids i LEFT JOIN n_true n USING (s) LEFT JOIN n_predicted m ON m.t = g.t AND m.r = g.r AND m.s = i.s),
+        cells AS (SELECT t, r, avg(CASE WHEN truths + predicted = 0 THEN 1.0 ELSE {_F05} END) AS score FROM by_id GROUP BY t, r)"""
+
+
+def _norm(view: str) -> str:
+    return f"WITH {V.entities_sql(view)} SELECT entity_id, {V.normalized_sql('business_name')} AS normalized_name FROM entities"
+
+
+def _addresses(view: str) -> str:
+    return f"WITH {V.entities_sql(view)} SELECT entity_id, {V.abbreviated_sql(V.normalized_sql('business_address'))} AS normalized_address FROM entities"
+
+
+def _all_keys(view: str) -> str:
+    return f"WITH {V.keys_sql(view)} SELECT entity_id, normalized_name, normalized_address, legal_name, CAST(name_length AS INTEGER) AS name_length, CAST(address_length AS INTEGER) AS address_length, key_exact_name, key_word_digit, key_exact_addr, key_legal_name FROM keys"
+
+
+def _padded(x: str) -> str:
+    out = f"' ' || ({x}) || ' '"
+    for word, short in T.ADDRESS_ALIASES.items():
+        out = f"replace({out}, ' {word} ', ' {short} ')"
+    return f"trim({out})"
+
+
+_PLAIN = "entity_id, business_name, business_address"
+_ATTRIBUTES = f"""WITH {_TOP5}, pairs_with AS (
+        SELECT t.s, t.v, a.business_name AS name_1, b.business_name AS name_2, a.business_address AS address_1, b.business_address AS address_2
+        FROM top t JOIN entities a ON a.entity_id = t.s JOIN entities b ON b.entity_id = t.v)"""
+_SAMPLE = f"SELECT entity_id FROM entities WHERE k % 3 = 0 ORDER BY {_HASH}, entity_id LIMIT 100"
+_KEYS_12 = "FROM top t JOIN keys a ON a.entity_id = t.s JOIN keys b ON b.entity_id = t.v"
+
+
+def _word_digit(k: str) -> str:
+    word, number = f"regexp_extract({k}.normalized_name, '^[\\p{{L}}\\p{{N}}]+', 0)", f"regexp_extract({k}.normalized_address, '[0-9]+', 0)"
+    return f"CASE WHEN {word} <> '' AND {number} <> '' THEN {word} || '_' || {number} END"
+
+
+ORACLES = {
+    "entity_scan": f"WITH {V.entities_sql('part')} SELECT {_PLAIN} FROM entities WHERE k % 3 = 0 UNION ALL (WITH {V.entities_sql('documents')} SELECT {_PLAIN} FROM entities WHERE k % 3 = 0)",
+    "vendor_union": f"WITH {V.entities_sql('part')} SELECT {_PLAIN} FROM entities WHERE k % 3 <> 0",
+    "tsv_roundtrip": f"WITH {V.entities_sql('part')} SELECT entity_id, business_name, coalesce(business_address, '') AS business_address FROM entities",
+    "norm_name": _norm("part"),
+    "norm_name_documents": _norm("documents"),
+    "norm_address": _addresses("part"),
+    "norm_address_documents": _addresses("documents"),
+    "alias_replacement": f"WITH {V.entities_sql('part')} SELECT entity_id, {_padded(V.normalized_sql('''concat_ws(' ', business_address, 'street street road lane')'''))} AS address FROM entities",
+    "first_word_number": f"WITH {V.entities_sql('part')} SELECT entity_id, regexp_extract({V.normalized_sql('business_name')}, '^[\\p{{L}}\\p{{N}}]+', 0) AS first_word, regexp_extract(coalesce(business_address, ''), '[0-9]+', 0) AS first_number FROM entities",
+    "legal_name": f"WITH {V.keys_sql('part')} SELECT entity_id, legal_name FROM keys",
+    "blocking_keys": _all_keys("part"),
+    "blocking_keys_documents": _all_keys("documents"),
+    **{f"join_{kind}": f"WITH {V.matches_sql('part')} SELECT s AS source1_entity_id, v AS vendor_entity_id, CAST(gap AS INTEGER) AS length_gap FROM matches WHERE kind = '{kind}'" for kind in blocking.KEY_KINDS},
+    **{name: f"WITH {V.matches_sql(view)} SELECT s AS source1_entity_id, v AS vendor_entity_id, kind AS blocking_key, CAST(gap AS INTEGER) AS length_gap FROM matches" for name, view in (("candidate_matches_union", "part"), ("candidate_matches_documents", "documents"))},
+    **{name: f"WITH {V.matches_sql(view)} SELECT s AS source1_entity_id, v AS vendor_entity_id, n AS matched_key_count, CAST(gap AS INTEGER) AS length_gap FROM pairs" for name, view in (("candidate_dedup", "part"), ("candidate_dedup_documents", "documents"))},
+    **{name: f"WITH {V.scored_sql(view)} SELECT s AS source1_entity_id, v AS vendor_entity_id, round(score, 6) AS similarity_score FROM scored" for name, view in (("similarity_score", "part"), ("similarity_score_documents", "documents"))},
+    "candidates_top5": f"WITH {_TOP5} SELECT s AS source1_entity_id, v AS vendor_entity_id FROM top",
+    "candidates_top30": f"WITH {V.top_sql('documents', 30)} SELECT s AS source1_entity_id, v AS vendor_entity_id FROM top",
+    "attach_attributes": f"{_ATTRIBUTES} SELECT s AS source1_entity_id, v AS candidate_entity_id, name_1, name_2, address_1, address_2 FROM pairs_with",
+    "truth_long": f"WITH {V.entities_sql('part')}, {V.truth_sql()} SELECT s AS source1_entity_id, v AS candidate_entity_id FROM truth",
+    "truth_subset": f"WITH {V.entities_sql('part')}, {V.truth_sql()} SELECT s AS source1_entity_id, v AS candidate_entity_id FROM truth WHERE s IN ({_SAMPLE})",
+    "labels": f"WITH {_TOP5}, {V.truth_sql()} SELECT top.s AS source1_entity_id, top.v AS candidate_entity_id, CAST(truth.v IS NOT NULL AS INTEGER) AS label FROM top LEFT JOIN truth ON truth.s = top.s AND truth.v = top.v",
+    "features_builtin": f"""WITH {_TOP5}, f AS (SELECT t.s AS source1_entity_id, t.v AS candidate_entity_id,
+            CAST(abs(a.name_length - b.name_length) AS DOUBLE) AS name_length_diff, CAST(abs(a.address_length - b.address_length) AS DOUBLE) AS address_length_diff,
+            CAST(list_has_any(regexp_extract_all(a.normalized_address, '[0-9]+'), regexp_extract_all(b.normalized_address, '[0-9]+')) AS DOUBLE) AS address_digit_match,
+            CAST(coalesce(a.key_exact_name = b.key_exact_name, false) AS DOUBLE) AS exact_name_key_match,
+            CAST(coalesce({_word_digit("a")} = {_word_digit("b")}, false) AS DOUBLE) AS word_digit_key_match,
+            CAST(coalesce(a.key_exact_addr = b.key_exact_addr, false) AS DOUBLE) AS exact_address_key_match,
+            CAST(coalesce(a.key_legal_name = b.key_legal_name, false) AS DOUBLE) AS legal_name_key_match {_KEYS_12})
+        SELECT *, exact_name_key_match + word_digit_key_match + exact_address_key_match + legal_name_key_match AS blocking_key_match_count FROM f""",
+    "features_jaro_winkler": f"WITH {_TOP5} SELECT t.s AS source1_entity_id, t.v AS candidate_entity_id, round(CAST(CAST(100 * jaro_winkler_similarity(a.normalized_name, b.normalized_name) AS FLOAT) AS DOUBLE), 3) AS name_jaro_winkler {_KEYS_12} WHERE a.normalized_name <> '' AND b.normalized_name <> ''",
+    "threshold_filter": f"WITH {_TOP5} SELECT s AS source1_entity_id, v AS candidate_entity_id FROM top WHERE {_P} >= {THRESHOLD}",
+    "acceptance_mask": f"WITH {_TOP5}, p AS (SELECT s, v, {_P} AS p FROM top), q AS (SELECT *, max(p) OVER (PARTITION BY s) AS best FROM p) SELECT s AS source1_entity_id, v AS candidate_entity_id FROM q WHERE p >= {THRESHOLD} AND p >= CAST({FLOOR} AS DOUBLE) * best",
+    "relative_max": f"WITH {_TOP5} SELECT s AS source1_entity_id, CAST(max({_P}) AS DOUBLE) AS best, count(*) AS n FROM top GROUP BY s",
+    "candidate_submission": _lists("candidate_entity_ids", "true"),
+    "threshold_submission": _lists("matched_entity_ids", f"q.p >= {THRESHOLD}"),
+    "match_submission": _lists("matched_entity_ids", f"q.p >= {THRESHOLD} AND q.p >= CAST({FLOOR} AS DOUBLE) * q.best"),
+    "micro_f05": f"""WITH {_TOP5}, {V.truth_sql()}, c AS (SELECT count(truth.v) FILTER (WHERE {_P.replace("substr(s,", "substr(top.s,").replace("substr(v,", "substr(top.v,")} >= {THRESHOLD}) AS hits,
+            count(*) FILTER (WHERE {_P.replace("substr(s,", "substr(top.s,").replace("substr(v,", "substr(top.v,")} >= {THRESHOLD}) AS predicted, count(truth.v) AS truths FROM top LEFT JOIN truth ON truth.s = top.s AND truth.v = top.v)
+        SELECT round({_F05}, 6) AS f05 FROM c""",
+    "macro_f05": f"""WITH {_TOP5}, {V.truth_sql()}, p AS (SELECT s, v, {_P} AS p FROM top), q AS (SELECT *, max(p) OVER (PARTITION BY s) AS best FROM p),
+        a AS (SELECT s, v FROM q WHERE p >= {THRESHOLD} AND p >= CAST({FLOOR} AS DOUBLE) * best),
+        n AS (SELECT e.entity_id, (SELECT count(*) FROM truth WHERE truth.s = e.entity_id) AS truths, (SELECT count(*) FROM a WHERE a.s = e.entity_id) AS predicted,
+            (SELECT count(*) FROM a JOIN truth USING (s, v) WHERE a.s = e.entity_id) AS hits FROM entities e WHERE e.k % 3 = 0)
+        SELECT round(avg(CASE WHEN truths + predicted = 0 THEN 1.0 ELSE {_F05} END), 6) AS macro_f05 FROM n""",
+    "threshold_sweep": f"WITH {_TOP5}, {V.truth_sql()}, {_sweep('')} SELECT round(CAST(t AS DOUBLE), 2) AS threshold, CAST(r AS DOUBLE) AS relative, round(score, 6) AS score FROM cells",
+    "select_threshold": f"""WITH {_TOP5}, {V.truth_sql()}, {_sweep('AND k % 2 = 0')}, choice AS (SELECT t, r, score FROM cells ORDER BY round(score, 11) DESC, t DESC, r DESC LIMIT 1),
+        a AS (SELECT q.s, q.v FROM q, choice WHERE q.p >= choice.t AND q.p >= CAST(choice.r AS DOUBLE) * q.best),
+        n AS (SELECT e.entity_id, (SELECT count(*) FROM truth WHERE truth.s = e.entity_id) AS truths, (SELECT count(*) FROM a WHERE a.s = e.entity_id) AS predicted,
+            (SELECT count(*) FROM a JOIN truth USING (s, v) WHERE a.s = e.entity_id) AS hits FROM entities e WHERE e.k % 3 = 0 AND e.k % 2 = 1)
+        SELECT CAST(t AS DOUBLE) AS threshold, CAST(r AS DOUBLE) AS relative, round(score, 6) AS selection_score,
+            (SELECT round(avg(CASE WHEN truths + predicted = 0 THEN 1.0 ELSE {_F05} END), 6) FROM n) AS heldout_score FROM choice""",
+    "train_sample": f"WITH {V.entities_sql('part')} SELECT {_PLAIN} FROM entities WHERE entity_id IN ({_SAMPLE})",
+    "id_halves": f"WITH {V.entities_sql('part')} SELECT entity_id AS source1_entity_id, CASE WHEN row_number() OVER (ORDER BY {_HASH}) <= (SELECT count(*) // 2 FROM entities WHERE k % 3 = 0) THEN 'a' ELSE 'b' END AS half FROM entities WHERE k % 3 = 0",
+    "group_folds": f"""WITH {_TOP5}, g AS (SELECT s, count(*) AS n, CAST('0x' || substr(md5(s), 1, 2) AS BIGINT) AS salt FROM top GROUP BY s)
+        SELECT s AS source1_entity_id, n, CAST((row_number() OVER (PARTITION BY salt ORDER BY n DESC, s) - 1 + salt) % 5 AS INTEGER) AS fold FROM g""",
+    "validate_submission": f"""WITH {_TOP5}, lists AS (SELECT e.entity_id AS s, e.k, list_concat(coalesce(list(DISTINCT top.v) FILTER (WHERE top.v IS NOT NULL), []), CASE WHEN e.k % 10 = 0 THEN ['S1-1', 'S2-1', 'S2-1', 'X9', 'S3-0'] ELSE [] END) AS ids
+            FROM entities e LEFT JOIN top ON top.s = e.entity_id WHERE e.k % 3 = 0 GROUP BY e.entity_id, e.k),
+        rows AS (SELECT s, ids FROM lists WHERE k % 14 <> 0 UNION ALL SELECT s, ids FROM lists WHERE k % 9 = 0 AND k % 14 <> 0 UNION ALL SELECT 'S1-x', ['S2-1']),
+        each AS (SELECT DISTINCT unnest(ids) AS id FROM rows)
+        SELECT 'duplicate_row' AS rule, s AS offender FROM rows GROUP BY s HAVING count(*) > 1
+        UNION ALL SELECT DISTINCT 'duplicate_id', s FROM rows WHERE len(ids) <> len(list_distinct(ids))
+        UNION ALL SELECT 'self_match', id FROM each WHERE starts_with(id, 'S1-')
+        UNION ALL SELECT 'wrong_prefix', id FROM each WHERE NOT starts_with(id, 'S1-') AND NOT starts_with(id, 'S2-') AND NOT starts_with(id, 'S3-')
+        UNION ALL SELECT 'missing_id', entity_id FROM entities WHERE k % 3 = 0 AND entity_id NOT IN (SELECT s FROM rows)
+        UNION ALL SELECT DISTINCT 'unexpected_id', s FROM rows WHERE s NOT IN (SELECT entity_id FROM entities WHERE k % 3 = 0)
+        UNION ALL SELECT 'unknown_id', id FROM each WHERE (starts_with(id, 'S2-') OR starts_with(id, 'S3-')) AND id NOT IN (SELECT entity_id FROM entities WHERE k % 3 <> 0)""",
+    "matches_beyond_candidates": f"WITH {V.scored_sql('part')}, r AS (SELECT s, row_number() OVER (PARTITION BY s ORDER BY n DESC, round(score, 9) DESC, gap, v) AS place FROM scored) SELECT DISTINCT s AS source1_entity_id FROM r WHERE place BETWEEN 3 AND 5",
+}
