@@ -27,10 +27,10 @@ class NotText(ValueError):
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line (from 1), value. The line number counts bytes' order within one file; a file is read as one partition to number it."""
+    """line (from 1), value: partitions of a file are in its order, so each one's lines are counted on from those before."""
     lines = spark.read.option("wholetext", False).text(path)
     order = Window.orderBy("_part")
-    parts = lines.select("value", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")).persist()
+    parts = lines.select("value", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
     before = sizes.select("_part", "first", F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     return parts.join(F.broadcast(before), "_part").select((F.col("before") + F.col("_at") - F.col("first") + 1).alias("line"), "value")
