@@ -16,7 +16,7 @@ from kindred.llm.ranks import gapless
 from kindred.session import settle
 
 END_ID = 1
-CACHED = 400_000
+CACHED = 200_000
 SIMPLE = re.compile(r"[!-&(-~ß-öø-ÿ]+")
 PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 UNUSUAL_SPACE = re.compile("[\x1c-\x1f]")
