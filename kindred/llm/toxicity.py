@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.text import BEGIN_WORD, CHUNK_BYTES, SYMBOL_BITS, SYMBOLS, Counter64, Remembered, Spelled, buffers, chunks, words
+from kindred.llm.fitting import bounded_sample, fit_in_task
+from kindred.llm.text import CHUNK_BYTES, SYMBOL_BITS, SYMBOLS, Counter64, Remembered, Spelled, buffers, chunks, words
 
 ORDER = 4
 WINDOWS = (1, 4, 16)
@@ -84,26 +86,21 @@ class Model:
 def _vocabulary(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words as one run of bytes with their places, and the count of each in both classes."""
     data, offsets = buffers(texts)
-    seen: dict[int, int] = {}
-    spans, counts = [], []
+    found = []
     for low, high in chunks(offsets):
         part = offsets[low : high + 1]
         hashes, n, starts, ends = words(data[part[0] : part[-1]], part - part[0], APART)
-        if not len(hashes):
-            continue
-        kinds, first, places = np.unique(hashes, return_index=True, return_inverse=True)
-        toxic = np.bincount(places, np.repeat(labels[low:high], n), len(kinds))
-        every = np.bincount(places, minlength=len(kinds))
-        for h, a, b, t, e in zip(kinds.tolist(), (starts[first] + part[0]).tolist(), (ends[first] + part[0]).tolist(), toxic.tolist(), every.tolist(), strict=True):
-            k = seen.setdefault(h, len(spans))
-            if k == len(spans):
-                spans.append((a, b))
-                counts.append([t, e - t])
-            else:
-                counts[k][0] += t
-                counts[k][1] += e - t
-    places = np.array(spans, np.int64).reshape(-1, 2)
-    return data, places[:, 0], places[:, 1], np.array(counts, float).reshape(-1, 2)
+        if len(hashes):
+            kinds, first, places = np.unique(hashes, return_index=True, return_inverse=True)
+            toxic = np.bincount(places, np.repeat(labels[low:high], n), len(kinds))
+            found.append((kinds, starts[first] + part[0], ends[first] + part[0], toxic, np.bincount(places, minlength=len(kinds))))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return data, none, none, np.zeros((0, 2))
+    hashes, starts, ends, toxic, every = (np.concatenate(c) for c in zip(*found, strict=True))
+    kinds, first, places = np.unique(hashes, return_index=True, return_inverse=True)
+    of_toxic = np.bincount(places, toxic, len(kinds))
+    return data, starts[first], ends[first], np.stack([of_toxic, np.bincount(places, every, len(kinds)) - of_toxic], axis=1)
 
 
 def fit_models(texts: pa.Array, labels: np.ndarray) -> Model:
@@ -205,7 +202,7 @@ def train_model(texts: pa.Array, labels: np.ndarray) -> Model | None:
     return model
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_toxic: int = 3_000, max_plain: int = 6_000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_toxic: int = 2_000, max_plain: int = 3_000) -> DataFrame:
     """Add a score from 0 to 1 and predicted (1 where it is at least 0.3) to every row of docs, from its whole text.
 
     labels: doc_id, toxic; null labels are ignored, and of several for one document the highest counts.
@@ -217,20 +214,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_toxic:
     empty text has no words and scores as one without evidence. Without labels of both classes every
     score is 0. Existing columns named score or predicted are replaced.
     """
-    spark = docs.sparkSession
     marked = labels.where("toxic is not null and doc_id is not null").where(train).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = marked.where("toxic = 1").orderBy(*order).limit(max_toxic).union(marked.where("toxic = 0").orderBy(*order).limit(max_plain))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "toxic").toArrow()
-    model = train_model(rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()), rows["toxic"].to_numpy().astype(np.int64))
-    del rows
-    shared = spark.sparkContext.broadcast(model)
+    sample = bounded_sample(docs.select("doc_id", F.col("text").cast("string").alias("text")), ids, ["text", "toxic"])
+    fit = lambda rows: train_model(rows["text"].combine_chunks(), rows["toxic"].to_numpy().astype(np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_in_task(sample, fit))
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     fields = docs.select(kept).schema.add("score", "double", False).add("predicted", "integer", False)
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        held = pickle.loads(shared.value) if shared.value else None
         memory = Remembered(2)
         for batch in batches:
             p = probabilities(held, features_of(held, batch.column(at), memory)) if held is not None else np.zeros(batch.num_rows)
