@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.fitting import bounded_sample, fit_in_task
 from kindred.llm.text import CHUNK_BYTES, NO_LETTER, Counter64, Remembered, Spelled, buffers, chunks, words
 
 LONGEST = 5
@@ -100,7 +102,13 @@ def learn(texts: pa.Array, names: list[str], labels: np.ndarray) -> Model:
         hashes, counts, starts, ends = words(own, part - part[0], NO_LETTER)
         if not len(hashes):
             continue
-        owners = np.repeat(labels[low:high], counts)
+        # A word counts once in a document, so that one that repeats a word endlessly doesn't speak for its language.
+        rows = np.repeat(np.arange(high - low), counts)
+        order = np.lexsort((hashes, rows))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(hashes[order]) != 0) | (np.diff(rows[order]) != 0)
+        once = np.sort(order[fresh])
+        hashes, starts, ends, owners = hashes[once], starts[once], ends[once], labels[low:high][rows[once]]
         found[0].append(counted(hashes, owners))
         kinds, first, places = np.unique(hashes, return_index=True, return_inverse=True)
         weights = np.bincount(places * len(names) + owners, minlength=len(kinds) * len(names)).reshape(-1, len(names))
@@ -121,23 +129,25 @@ def predict_language(docs: DataFrame, train: Column, max_train_rows: int = 12_00
     """Predict the language of every whole text, learning from `lang` of the rows where `train` holds.
 
     docs: doc_id, text, lang and any others, which are ignored. Returns doc_id, lang_pred and score, a
-    row for each row of the input. The classifier is fitted on at most `max_train_rows` rows that have
-    a lang and a text, those first by a hash of doc_id; nothing else is bounded. A word is a run of
-    letters (and of all that isn't ASCII), lower-cased. Each word's log frequencies are added up for
-    each language; score is the share of the best one after dividing by the root of the number of
+    row for each row of the input. The classifier is fitted on the rows of at most `max_train_rows`
+    ids that have a lang and a text, those first by a hash of doc_id; nothing else is bounded. A word is a run of
+    letters (and of all that isn't ASCII), lower-cased. Each word's log frequencies (in how many
+    documents it occurs) are added up for each language; score is the share of the best one after dividing by the root of the number of
     words, so that long texts don't all score 1. A text that is null or has no letter is und with a
     score of 0; so is every text where nothing can be learned from.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has"), "lang", train.alias("train"))
-    sample = own.where("train and lang is not null and has").orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "lang").limit(max_train_rows)
-    rows = sample.toArrow()
-    names = sorted(set(rows["lang"].to_pylist()))
-    model = learn(rows["text"], names, np.array([names.index(x) for x in rows["lang"].to_pylist()], np.int64)) if names else None
-    del rows
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    usable = own.where("train and lang is not null and has")
+    ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows)
+
+    def fit(rows: pa.Table) -> Model:
+        names = sorted(set(rows["lang"].to_pylist()))
+        return learn(rows["text"].combine_chunks(), names, np.array([names.index(x) for x in rows["lang"].to_pylist()], np.int64))
+
+    shared = docs.sparkSession.sparkContext.broadcast(fit_in_task(bounded_sample(usable, ids, ["text", "lang"]), fit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        held = pickle.loads(shared.value) if shared.value else None
         memory = Remembered(len(held.names)) if held else None
         for batch in batches:
             n = batch.num_rows
