@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kindred.llm.text import buffers, chunks, mix, words
 from kindred.session import settle
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 10 << 20
 END, BEGIN = np.uint64(0x27D4EB2F165667C5), np.uint64(0x165667B19E3779F9)
 LEFT, RIGHT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
 STEPS = 8
@@ -35,7 +35,7 @@ def _expand(data: bytes, kind) -> np.ndarray:
 
 
 def _batches(docs: DataFrame, train: Column, extra: Column) -> DataFrame:
-    """Documents in batches of about 16 MB of text, compressed; those that the weights are learned on apart."""
+    """Documents in batches of about 10 MB of text, compressed; those that the weights are learned on apart."""
     fields = "batch long, extra boolean, raw long, ids array<long>, train array<boolean>, sizes array<long>, blob binary"
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +229,7 @@ def interpolated_scores(docs: DataFrame, train: Column, extra_share: int = 10) -
     by a hash of its id, is the held-out text: counts without these give the estimates on which
     expectation-maximisation learns the weights, for each power of two of the context's count; the
     scores then use the counts of all training text. Held-out tokens reach the driver as a histogram
-    of bounded size. A batch of 16 MB of text is what a task holds; a longer text is a batch alone.
+    of bounded size. A batch of 10 MB of text is what a task holds; a longer text is a batch alone.
     """
     train = F.coalesce(train, F.lit(True))
     extra = train & (F.pmod(F.xxhash64("doc_id", F.lit("held-out counts")), F.lit(extra_share)) == 0)
