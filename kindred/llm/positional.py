@@ -147,8 +147,12 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, share: float = 0.0) -> DataFrame:
-    """The rows of docs without documents of which more than `share` of the words stand in the items. An id that any such document has goes."""
-    found = contamination(docs, items, width)
+def without_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, share: float = 0.0, least: int = 5) -> DataFrame:
+    """The rows of docs without documents of which more than `share` of the words stand in the items.
+
+    Items of fewer than `least` words say nothing about a document and are left out. An id that any
+    contaminated document has goes; rows with a null id stay.
+    """
+    found = contamination(docs, items.where(F.size(words_of(F.col("text"))) >= least), width)
     gone = found.where(F.col("contaminated") & (F.col("n_hit") > F.lit(share) * F.col("n_words"))).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
