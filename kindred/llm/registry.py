@@ -134,4 +134,26 @@ ORACLES = {
         SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.action, 'allow') AS verdict
         FROM urls u LEFT JOIN best b USING (page_id)
     """,
+    "op8_ngram_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k + 1:k + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 3, 1))) AS k FROM d WHERE len(w) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), met AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+        ), edges AS (
+            SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+        ), reach(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM d
+            UNION
+            SELECT e.y, r.root FROM reach r JOIN edges e ON e.x = r.doc_id
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.root) AS component_id
+        FROM d JOIN reach r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+    """,
 }
