@@ -5,8 +5,8 @@ from kindred.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", "4g", "tests")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session = local_session("2", "4g", "tests")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
 
 
