@@ -16,10 +16,8 @@ def corpus(spark):
         t = " ".join(r.choice(words[lang]) for _ in range(r.randrange(5, 60)))
         if k % 4 == 0:
             t += " idiot moron scum"
-        if k % 10 == 5:
-            t = rows[-1][1]
-        if k % 10 == 7:
-            t = rows[-1][1] + " more"
+        if k % 10 in (5, 7):
+            t, lang = rows[-1][1] + " more" * (k % 10 == 7), rows[-1][2]
         rows.append((k, t.capitalize(), lang, "s", len(t), "k", None, 1))
     rows += [(200, None, None, None, None, None, None, None), (201, "", "en", "s", 0, "k", "n", 1), (202, " \n ", "en", "s", 3, "k", "n", 1), (203, "12 + 7!", "fr", "s", 6, "k", "n", 1)]
     rows += [(204, "ying " * 9000 + "end", "en", "s", 1, "k", "n", 1), (205, "One two", "en", "s", 1, "k", "n", 1), (206, "one TWO", None, "s", 1, "k", "n", 1)]
