@@ -98,7 +98,7 @@ def _factors(n: int) -> np.ndarray:
 def grams(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of each `width` neighbouring hashes, in order; the last width - 1 places are without meaning."""
     out = np.zeros(len(hashes), np.uint64)
-    for k, factor in enumerate(_factors(width)):
+    for k, factor in enumerate(_factors(min(width, len(hashes)))):
         out[: len(hashes) - k] += hashes[k:] * factor
     return mix(out)
 
@@ -133,8 +133,8 @@ class Spelled:
         stops = np.cumsum(sizes)
         self.at = stops - sizes
         total = int(stops[-1]) if len(stops) else 0
-        self.word = np.repeat(np.arange(len(starts)), sizes)
-        self.place = np.arange(total) - self.at[self.word]
+        self.word = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+        self.place = (np.arange(total) - self.at[self.word]).astype(np.int32)
         self.symbols = np.zeros(total, np.uint64)
         inner = (self.place > 0) & (self.place < sizes[self.word] - 1)
         self.symbols[inner] = _LOWER[data[(starts[self.word] + self.place - 1)[inner]]]
