@@ -123,7 +123,8 @@ def test_whole_run_from_files_to_files(spark, tmp_path, monkeypatch):
     cli.main(["--n-splits", "2", "--iterations", "2", "--max-candidates", "6"], spark)
     lines = (tmp_path / "output/matching_results.tsv").read_text().splitlines()
     assert len(lines) == 25 and (tmp_path / "output/oof_predictions.tsv").exists()
-    assert validation.validate(spark, "output/matching_results.tsv", "output/candidate_pairs.tsv", "dataset/test", True) == ([], [])
+    paths = [str(tmp_path / p) for p in ("output/matching_results.tsv", "output/candidate_pairs.tsv", "dataset/test")]
+    assert validation.validate(spark, *paths, True) == ([], [])
 
 
 def test_sensitivity_is_asked_for_by_flag(monkeypatch, spark):
