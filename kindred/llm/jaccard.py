@@ -6,16 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.components import components
 from kindred.llm.text import mix, shingle_sets
 from kindred.session import settle
 
-COMMON = 200_000
-FLUSH = 4_000_000
-LEAST_LOCAL = 4
+SKETCH_BITS, SLICES = 23, 64
+PARITY_WORDS = 8
+FLUSH = 1_000_000
 BLOOM_BITS = 25
 LARGE_BUCKET = 16
 PART = 4096
@@ -57,48 +58,74 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+def _counter(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
 def _classes(docs: DataFrame, width: int) -> DataFrame:
-    """kind 0: a document (a doc_id, b node, n set size); kind 1: a token that is common in this task (a token, n count)."""
+    """kind 0: a document (a doc_id, b node, n set size, parity); kind 1: a slice (a) of this task's counts of its distinct sets' tokens, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = _Seen(), [], 0
-
-        def common():
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            tokens, counts = tokens[counts >= LEAST_LOCAL], counts[counts >= LEAST_LOCAL]
-            return _rows(np.ones(len(tokens), np.int32), _signed(tokens), np.zeros(len(tokens), np.int64), counts)
-
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            ids, nodes, sizes = batch.column(0), [], []
+            ids, nodes, sizes, parities = batch.column(0), [], [], []
             for tokens in shingle_sets(batch.column(1), width):
                 node = _node(tokens) if len(tokens) else None
                 nodes.append(node)
                 sizes.append(len(tokens))
+                parities.append(_parity(tokens))
                 if node is not None and seen.first(node):
-                    held.append(tokens)
+                    held.append(_counter(tokens))
                     size += len(tokens)
-            yield _rows(np.zeros(len(sizes), np.int32), ids, pa.array(nodes, pa.int64()), np.array(sizes, np.int64))
-            if size > FLUSH:
-                yield common()
-                held, size = [], 0
+                    if size > FLUSH:
+                        np.add.at(counts, np.concatenate(held), 1)
+                        held, size = [], 0
+            yield _rows(np.zeros(len(sizes), np.int32), ids, nodes, sizes, [None] * len(sizes), parities)
         if held:
-            yield common()
+            np.add.at(counts, np.concatenate(held), 1)
+        parts = counts.reshape(SLICES, -1)
+        made = [(k, zstandard.ZstdCompressor(level=1).compress(part.tobytes())) for k, part in enumerate(parts) if part.any()]
+        if made:
+            where, packed = zip(*made, strict=True)
+            yield _rows(np.ones(len(made), np.int32), list(where), [None] * len(made), [0] * len(made), list(packed), [None] * len(made))
+
+    return _texts(docs).mapInArrow(run, "kind int, a long, b long, n long, counts binary, parity array<long>")
+
+
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Of each of 512 classes of tokens, whether the set has an odd number. Two sets differ in at least as many tokens as bits."""
+    held = np.bincount((tokens >> np.uint64(46) & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    return np.packbits((held & 1).astype(np.uint8)).view(np.int64)
+
+
+def _rows(kind, a, b, n, counts, parity) -> pa.RecordBatch:
+    kinds = {"kind": pa.int32(), "a": pa.int64(), "b": pa.int64(), "n": pa.int64(), "counts": pa.binary(), "parity": pa.list_(pa.int64())}
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, a, b, n, counts, parity), kinds.values(), strict=True)], names=list(kinds))
+
 
-    return _texts(docs).mapInArrow(run, "kind int, a long, b long, n long")
+def _frequencies(slices: DataFrame) -> np.ndarray:
+    """How often tokens of each hash prefix occur, in 1024ths of an octave: a table of fixed size at any scale."""
 
+    def total(rows: pa.Table) -> pa.Table:
+        out = np.zeros((1 << SKETCH_BITS) // SLICES)
+        for x in rows["counts"]:
+            out += np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), np.uint32)
+        packed = zstandard.ZstdCompressor(level=1).compress((np.log2(1 + out) * 1024).astype(np.uint16).tobytes())
+        return pa.table({"a": pa.array([rows["a"][0].as_py()], pa.int64()), "counts": pa.array([packed], pa.binary())})
 
-def _rows(kind, a, b, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["kind", "a", "b", "n"])
+    found = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), np.uint16)
+    for r in slices.select("a", "counts").groupBy("a").applyInArrow(total, "a long, counts binary").collect():
+        found[r.a] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.counts)), np.uint16)
+    return found.ravel()
 
 
-def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """The tokens of each set's prefix, the common ones last: token, node."""
-    table = docs.sparkSession.sparkContext.broadcast(common)
+def _prefixes(docs: DataFrame, width: int, percent: int, frequencies: np.ndarray) -> DataFrame:
+    """The tokens of each set's prefix, in the order of their frequencies: token, node."""
+    table = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, known = _Seen(), table.value
-        by_token = np.argsort(known)
-        known = known[by_token]
         for batch in batches:
             tokens_out, nodes_out = [], []
             for tokens in shingle_sets(batch.column(1), width):
@@ -107,11 +134,8 @@ def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray) ->
                     continue
                 keep = prefix_length(n, percent)
                 if keep < n:
-                    order = mix(tokens ^ np.uint64(ORDER_SEEDS[1])) >> np.uint64(1)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                        hit = known[at] == tokens
-                        order[hit] = np.uint64(1 << 63) + by_token[at[hit]].astype(np.uint64)
+                    often = known[_counter(tokens)].astype(np.uint64)
+                    order = often << np.uint64(48) | mix(tokens ^ np.uint64(ORDER_SEEDS[1])) >> np.uint64(16)
                     tokens = tokens[np.argpartition(order, keep - 1)[:keep]]
                 tokens_out.append(_signed(tokens))
                 nodes_out.append(np.full(len(tokens), node, np.int64))
@@ -178,8 +202,11 @@ def _verified(docs: DataFrame, width: int, percent: int, pairs: DataFrame) -> Da
     return settle(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
-def _close(x: str, y: str, percent: int):
-    return F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
+def _close(x: str, y: str, p: str, q: str, percent: int):
+    """Whether sets of sizes x and y with parities p and q can link: neither too different in size, nor in too many classes of tokens."""
+    apart = sum((F.bit_count(F.get(p, F.lit(k)).bitwiseXOR(F.get(q, F.lit(k)))) for k in range(PARITY_WORDS)), F.lit(0))
+    need = F.expr(f"({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent}")
+    return (F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)) & (F.col(x) + F.col(y) - apart >= 2 * need)
 
 
 def _chained(shared: DataFrame, percent: int) -> DataFrame:
@@ -187,11 +214,12 @@ def _chained(shared: DataFrame, percent: int) -> DataFrame:
     size = shared.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where(F.col("size") > LARGE_BUCKET)
     salted = size.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)))
     within = Window.partitionBy("token", "part").orderBy("n", "node")
-    inner = salted.select("token", "part", "node", "n", F.lag("node").over(within).alias("other"), F.lag("n").over(within).alias("m"), F.row_number().over(within).alias("place"))
-    heads = inner.where("place = 1").select("token", "node", "n")
+    before = lambda w: [F.lag(c).over(w).alias(d) for c, d in (("node", "other"), ("n", "m"), ("parity", "q"))]
+    inner = salted.select("token", "node", "n", "parity", *before(within), F.row_number().over(within).alias("place"))
+    heads = inner.where("place = 1").select("token", "node", "n", "parity")
     across = Window.partitionBy("token").orderBy("n", "node")
-    outer = heads.select("node", "n", F.lag("node").over(across).alias("other"), F.lag("n").over(across).alias("m"))
-    both = inner.select("node", "n", "other", "m").union(outer).where(F.col("other").isNotNull() & _close("n", "m", percent))
+    outer = heads.select("node", "n", "parity", *before(across))
+    both = inner.select(outer.columns).union(outer).where(F.col("other").isNotNull() & _close("n", "m", "parity", "q", percent))
     return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -199,16 +227,16 @@ def _crossing(shared: DataFrame, percent: int) -> DataFrame:
     """All pairs in a bucket that are not yet in one component and share enough of their prefixes."""
     own = Window.partitionBy("token")
     mixed = shared.withColumn("lo", F.min("root").over(own)).withColumn("hi", F.max("root").over(own)).where("lo <> hi").drop("lo", "hi")
-    x = mixed.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _close("na", "nb", percent))
+    x = mixed.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("parity").alias("qa"))
+    y = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("parity").alias("qb"))
+    met = x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _close("na", "nb", "qa", "qb", percent))
     counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
     rest = F.expr(f"greatest(({percent} * na + 99) div 100, ({percent} * nb + 99) div 100) - 1")
     need = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
     return counted.where(F.col("shared") + rest >= need).select("a", "b")
 
 
-def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, common_tokens: int = COMMON) -> DataFrame:
+def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Components of the graph of all pairs whose shingle sets have a Jaccard similarity of at least `percent` hundredths.
 
     docs: doc_id, text and any others, which are ignored. Returns a row for each row of the input:
@@ -216,22 +244,21 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80, co
     `width` words, A-Z lower-cased, of the whole text; with fewer words, the whole sequence as one; a
     null or empty text has none and links with nothing. Null ids are kept and never the smallest.
 
-    Equal sets are one node. Order one puts tokens that are frequent in the corpus last (at most
-    `common_tokens` of them, which changes the work and never the result); nodes that share a token of
-    their prefixes under it are candidates. In large buckets, neighbours by size are verified first;
+    Equal sets are one node. Order one goes by the tokens' frequency in the whole corpus, rare ones first,
+    from counts in a table of fixed size by hash (collisions change the work and never the result);
+    nodes that share a token of their prefixes under it are candidates. In large buckets, neighbours by size are verified first;
     then every pair of a bucket whose ends aren't connected yet is counted, and kept where its shared
-    prefix tokens still allow the similarity. What is left must pass the same test under two further
+    prefix tokens, and the parities of their counts in 512 classes of tokens, still allow the similarity. What is left must pass the same test under two further
     orders before the whole sets are intersected. No candidate is capped, so no link is lost; shingles
     and sets are told apart by 64-bit hashes.
     """
     found = settle(_classes(docs, width), "classes")
-    rows = found.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("n").alias("n_shingles"))
-    nodes = settle(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n")), "nodes")
-    often = found.where("kind = 1").groupBy("a").agg(F.sum("n").alias("count")).orderBy(F.desc("count"), "a").limit(common_tokens).toPandas()
-    common = often["a"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
+    rows = found.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("n").alias("n_shingles"), "parity")
+    nodes = settle(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.any_value("parity").alias("parity")), "nodes")
+    frequencies = _frequencies(found.where("kind = 1"))
     own = Window.partitionBy("token")
-    met = _prefixes(docs, width, percent, common).withColumn("lo", F.min("node").over(own)).withColumn("hi", F.max("node").over(own))
-    shared = settle(met.where("lo <> hi").select("token", "node").distinct().join(nodes.select("node", "n"), "node"), "shared")
+    met = _prefixes(docs, width, percent, frequencies).withColumn("lo", F.min("node").over(own)).withColumn("hi", F.max("node").over(own))
+    shared = settle(met.where("lo <> hi").select("token", "node").distinct().join(nodes.select("node", "n", "parity"), "node"), "shared")
     chains = settle(_chained(shared, percent), "chains")
     first = None if chains.isEmpty() else _verified(docs, width, percent, chains)
     roots = components(first) if first is not None else None
