@@ -212,24 +212,24 @@ PATTERN = re.compile(
 )
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
-REACH = 96
+#: Where a match can begin.
+START = re.compile(r"(?<!\w)[\w.+%(-]")
 
 
 def _matches(text: str) -> Iterator[re.Match]:
-    """What PATTERN finds, looked for only around digits and @, from the word that holds one."""
+    """What PATTERN finds in the whole text. Every match begins in a word with a digit or @, so only those words' places are tried."""
     at = 0
     while mark := MARK.search(text, at):
         word = mark.start()
         while word > at and not text[word - 1].isspace():
             word -= 1
-        beyond = SPACE.search(text, max(mark.end(), word + REACH))
-        found = PATTERN.search(text, word, beyond.start() if beyond else len(text))
-        if found is None:
-            after = SPACE.search(text, mark.end())
-            at = after.end() if after else len(text)
-        else:
-            yield found
-            at = found.end()
+        after = SPACE.search(text, mark.end())
+        at = after.start() if after else len(text)
+        for start in START.finditer(text, word, at):
+            if found := PATTERN.match(text, start.start()):
+                yield found
+                at = found.end()
+                break
 
 
 def pseudonymise_text(text: str, using: Pseudonyms) -> tuple[str, list[tuple[int, int, str]]]:

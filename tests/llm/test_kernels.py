@@ -97,6 +97,16 @@ def test_feistel_is_a_permutation():
     assert [f.permute(x, 1000, "a") for x in range(9)] != [f.permute(x, 1000, "b") for x in range(9)]
 
 
+def test_pseudonyms_find_values_at_every_distance_from_a_number():
+    u = pseudonyms.Pseudonyms("key")
+    values = {"DE89 3704 0044 0532 0130 00": "iban", "+49 30 1234 5678": "phone", "4539 5787 6362 1486": "card", "jane.doe@example.org": "mail"}
+    for value, kind in values.items():
+        for gap in range(1, 140):
+            for before in ("7" + " x" * (gap // 2) + " " * (gap % 2 + 1), "7" + "," * gap):
+                got, spans = pseudonyms.pseudonymise_text(f"{before}{value}, 8", u)
+                assert spans == [(len(before), len(before) + len(value), kind)] and value not in got, (value, gap)
+
+
 def test_pseudonyms_keep_formats():
     u = pseudonyms.Pseudonyms("key")
     hide = lambda t: pseudonyms.pseudonymise_text(t, u)
