@@ -196,29 +196,81 @@ class Pseudonyms:
 
 KINDS = ("mail", "iban", "day", "address", "social", "phone", "token", "card")
 STOP = r"(?![\w-]|\.[0-9])"
-PATTERN = re.compile(
-    "|".join(
-        [
-            r"(?P<mail>(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
-            r"(?P<iban>(?<!\w)[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?(?!\w))",
-            rf"(?P<day>(?<![\w./-])(?:[0-9]{{4}}(?P<s1>[-./])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{2}}(?P<s2>[-./])[0-9]{{2}}(?P=s2)[0-9]{{4}}){STOP})",
-            rf"(?P<address>(?<![\w.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{STOP})",
-            r"(?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
-            r"(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)|(?<![\w+(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![\w-]))",
-            r"(?P<token>(?<!\w)(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,64}(?!\w)|(?<!\w)(?=[0-9A-F]*[0-9])(?=[0-9A-F]*[A-F])[0-9A-F]{32,64}(?!\w))",
-            r"(?P<card>(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))",
-        ]
-    )
-)
+FORMS = [
+    r"(?P<mail>(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+    r"(?P<iban>(?<!\w)[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?(?!\w))",
+    rf"(?P<day>(?<![\w./-])(?:[0-9]{{4}}(?P<s1>[-./])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{2}}(?P<s2>[-./])[0-9]{{2}}(?P=s2)[0-9]{{4}}){STOP})",
+    rf"(?P<address>(?<![\w.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{STOP})",
+    r"(?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
+    r"(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)|(?<![\w+(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![\w-]))",
+    r"(?P<token>(?<!\w)(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,64}(?!\w)|(?<!\w)(?=[0-9A-F]*[0-9])(?=[0-9A-F]*[A-F])[0-9A-F]{32,64}(?!\w))",
+    r"(?P<card>(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))",
+]
+PATTERN = re.compile("|".join(FORMS))
+PATTERNS = dict(zip(KINDS, map(re.compile, FORMS), strict=True))
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
+#: Cards as they are printed, not any run of numbers.
+PRINTED = re.compile(r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}")
 #: Where a match can begin.
 START = re.compile(r"(?<!\w)[\w.+%(-]")
 
 
-def _matches(text: str) -> Iterator[re.Match]:
-    """What PATTERN finds in the whole text. Every match begins in a word with a digit or @, so only those words' places are tried."""
-    at = 0
+def _readings(text: str, start: int, using: Pseudonyms) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, kind and pseudonym of the valid values that begin at a place: by kind, longer ones first.
+
+    A pattern takes all that may belong to a value, also a short word or number after it, so what ends
+    at an earlier blank is tried too.
+    """
+    if not PATTERN.match(text, start):
+        return
+    for kind, pattern in PATTERNS.items():
+        found = pattern.match(text, start)
+        while found:
+            if (new := getattr(using, kind)(found.group())) is not None:
+                yield start, found.end(), kind, new
+            cut = text.rfind(" ", start, found.end())
+            found = pattern.match(text, start, cut) if cut > start else None
+
+
+def _broken_account(text: str, start: int) -> int:
+    """Where an account number of its country's length ends that begins at a place; 0 without one."""
+    found = PATTERNS["iban"].match(text, start)
+    while found:
+        if IBAN_SIZES.get(found[0][:2].upper()) == len(found[0].replace(" ", "")):
+            return found.end()
+        cut = text.rfind(" ", start, found.end())
+        found = PATTERNS["iban"].match(text, start, cut) if cut > start else None
+    return 0
+
+
+def _chosen(text: str, start: int, using: Pseudonyms, broken: int = 0) -> tuple[int, int, str, str] | None:
+    """The value at a place, or none if there is none or a longer one overlaps.
+
+    Numbers side by side may pass for a card or a phone number that ends inside the next value: then a
+    shorter reading that leaves that value whole is taken, or else the longer of both. Before `broken`,
+    inside an account number with wrong check digits, of all cards only 16 digits in fours count.
+    """
+    readings = (r for r in _readings(text, start, using) if start >= broken or r[2] != "card" or PRINTED.fullmatch(text, start, r[1]))
+    if (own := next(readings, None)) is None or own[2] not in ("phone", "card"):
+        return own
+    end = own[1]
+    rivals = (r for m in START.finditer(text, text.find(" ", start, end) + 1 or end, end) for r in _readings(text, m.start(), using))
+    rival = max((r for r in rivals if r[1] > end and (r[2] != "card" or PRINTED.fullmatch(text, *r[:2]))), key=lambda r: r[1] - r[0], default=None)
+    if rival is None:
+        return own
+    if shorter := next((r for r in readings if r[1] <= rival[0]), None):
+        return shorter
+    return own if end - start >= rival[1] - rival[0] else None
+
+
+def _values(text: str, using: Pseudonyms) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, kind and pseudonym of the valid values in the whole text, from left to right.
+
+    Every value begins in a word with a digit or @, so only those words' places are tried. After a
+    place without a value the next one is tried.
+    """
+    at = broken = 0
     while mark := MARK.search(text, at):
         word = mark.start()
         while word > at and not text[word - 1].isspace():
@@ -226,26 +278,23 @@ def _matches(text: str) -> Iterator[re.Match]:
         after = SPACE.search(text, mark.end())
         at = after.start() if after else len(text)
         for start in START.finditer(text, word, at):
-            if found := PATTERN.match(text, start.start()):
+            if found := _chosen(text, start.start(), using, broken):
                 yield found
-                at = found.end()
+                at = found[1]
                 break
+            broken = max(broken, _broken_account(text, start.start()))
 
 
 def pseudonymise_text(text: str, using: Pseudonyms) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with every valid number and date replaced, and the places in the new text with their kinds."""
     out, spans, at, size = [], [], 0, 0
-    for m in _matches(text):
-        kind = next(k for k in KINDS if m[k] is not None)
-        new = getattr(using, kind)(m.group())
-        if new is None:
-            continue
-        gap = text[at : m.start()]
+    for start, end, kind, new in _values(text, using):
+        gap = text[at:start]
         out += (gap, new)
         size += len(gap)
         spans.append((size, size + len(new), kind))
         size += len(new)
-        at = m.end()
+        at = end
     if not spans:
         return text, []
     return "".join([*out, text[at:]]), spans
@@ -259,7 +308,9 @@ def pseudonymise(docs: DataFrame, key: str = "kindred", text: str = "text") -> D
     and hexadecimal secrets. A value is permuted within all values of its format under `key`, so equal
     values have equal pseudonyms in all documents, different ones different, and whoever has the key
     can go back; check digits are made right again and separators stay. What isn't valid stays as it
-    is. Whole texts are searched; a null text stays null. Other columns are kept, but for columns named
+    is, but for valid values inside it that begin a word and end at a blank or where the pattern ends.
+    A card is any 13 to 19 digits with Luhn's check digit, so one in ten other numbers of that length,
+    or such runs in a row of numbers, passes for one. Whole texts are searched; a null text stays null. Other columns are kept, but for columns named
     like the added ones. Every row stands for itself, so repeats and missing rows don't matter.
     """
     kept = [c for c in docs.columns if c not in ("spans", "n_replaced")]

@@ -107,6 +107,42 @@ def test_pseudonyms_find_values_at_every_distance_from_a_number():
                 assert spans == [(len(before), len(before) + len(value), kind)] and value not in got, (value, gap)
 
 
+def test_pseudonyms_beside_words_and_numbers():
+    u = pseudonyms.Pseudonyms("key")
+    spans = lambda t: pseudonyms.pseudonymise_text(t, u)[1]
+    for iban in ("BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "LU28 0019 4006 4475 0000", "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00"):
+        for after in (" a", " to", " for", " from", " for the", " 12", " 2021", " 4539 5787 6362 1486", ", for", " continuing"):
+            for one in (iban, iban.replace(" ", "")):
+                assert spans(one + after)[0] == (0, len(one), "iban"), one + after
+    for card in ("4539 5787 6362 1486", "4539578763621486", "4539-5787-6362-1486", "3782 822463 10005"):
+        for after in (" 12/25", " 12/2025", " 7", " 99 x", " 2021"):
+            digits = re.sub(r"\D", "", card + after.split("/")[0])
+            assert pseudonyms.luhn_valid(digits) or spans(card + after)[0] == (0, len(card), "card"), card + after
+        for n in range(1000):
+            t = f"{n} {card} 123"
+            low = len(str(n)) + 1
+            assert any(a <= low and low + len(card) <= b for a, b, _ in spans(t)), t
+    both = "+49 30 1234 5678 4539 5787 6362 1486"
+    assert spans(both) == [(0, 16, "phone"), (17, 36, "card")]
+    assert spans("+49 30 1234 5678 9012 3456") and spans("DE88 3704 0044 0532 0130 00 for") == spans("4539 5787 6362 1487 x") == []
+
+
+def test_pseudonyms_try_every_place():
+    u = pseudonyms.Pseudonyms("key")
+    r = random.Random(4)
+    parts = ["BE68 5390 0754 7034", "+49 30 1234 5678", "4539 5787 6362 1486", "jane.doe@example.org", "7", "x", "12.5", "(030)", "2021-03-04", "1.2.3.4", "078-05-1120", "\u00e9", "a@b", "0123456789abcdef" * 2, "\n", "\u00a0", ",", "-", "word" * 30, "+", "@", ". "]
+    for _ in range(400):
+        t = "".join(r.choice(parts) + r.choice(["", " ", " "]) for _ in range(r.randrange(30)))
+        want, at, broken = [], 0, 0
+        for k in range(len(t)):
+            if k >= at and (found := pseudonyms._chosen(t, k, u, broken)):
+                want.append(found)
+                at = found[1]
+            elif k >= at:
+                broken = max(broken, pseudonyms._broken_account(t, k))
+        assert list(pseudonyms._values(t, u)) == want, t
+
+
 def test_pseudonyms_keep_formats():
     u = pseudonyms.Pseudonyms("key")
     hide = lambda t: pseudonyms.pseudonymise_text(t, u)
