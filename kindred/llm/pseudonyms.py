@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
-from datetime import date, timedelta
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from datetime import date
+from functools import cache
 from math import isqrt
 
 import pyarrow as pa
@@ -16,8 +18,15 @@ from pyspark.sql import types as T
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 LOWER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
-#: Fixed lengths of account numbers by country.
-IBAN_SIZES = {"DE": 22, "FR": 27, "ES": 24, "GB": 22, "IT": 27, "NL": 18, "BE": 16, "AT": 20, "CH": 21, "PT": 25, "IE": 22, "PL": 28, "SE": 24, "DK": 18, "NO": 15, "FI": 18, "LU": 20}
+#: Fixed lengths of account numbers by country: all of the IBAN registry.
+IBAN_SIZES = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 "
+        "GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 "
+        "NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
+    ).split()
+}
 
 
 class Feistel:
@@ -88,6 +97,16 @@ def _refill(shape: str, fresh: str, letters: str = DIGITS) -> str:
     return "".join(next(left) if c in letters else c for c in shape)
 
 
+@cache
+def _days(short: str) -> Sequence[int]:
+    """The days from 1900 to 2099 in order, with months (m) and days (d) below 10 where those are `short`."""
+    days = range(FIRST_DAY, LAST_DAY + 1)
+    if not short:
+        return days
+    dates = map(date.fromordinal, days)
+    return [d.toordinal() for d in dates if (d.month < 10 or "m" not in short) and (d.day < 10 or "d" not in short)]
+
+
 class Pseudonyms:
     """Replacements of one key. Each kind keeps its separators, its length and what makes it valid."""
 
@@ -150,18 +169,23 @@ class Pseudonyms:
 
     def day(self, found: str) -> str | None:
         a, mark, b, _, c = re.fullmatch(r"([0-9]+)([-./])([0-9]+)([-./])([0-9]+)", found).groups()
+        if len(a) == 4:
+            order = "ymd"
+        else:
+            month_first = mark == "/" and int(b) > 12 or mark == "/" and int(a) <= 12
+            order = "mdy" if month_first else "dmy"
+        own = dict(zip(order, (a, b, c), strict=True))
         try:
-            if len(a) == 4:
-                day, order = date(int(a), int(b), int(c)), "ymd"
-            else:
-                month_first = mark == "/" and int(b) > 12 or mark == "/" and int(a) <= 12
-                day, order = (date(int(c), int(a), int(b)), "mdy") if month_first else (date(int(c), int(b), int(a)), "dmy")
+            day = date(*(int(own[k]) for k in "ymd")).toordinal()
         except ValueError:
             return None
-        if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+        if not FIRST_DAY <= day <= LAST_DAY:
             return None
-        new = date(1900, 1, 1) + timedelta(self.feistel.permute(day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "day"))
-        parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        # The number of digits of each part stays, so the text keeps its length.
+        short = "".join(k for k in "md" if len(own[k]) == 1)
+        days = _days(short)
+        new = date.fromordinal(days[self.feistel.permute(bisect_left(days, day), len(days), "day" + short)])
+        parts = {"y": f"{new.year:04d}", "m": f"{new.month:0{len(own['m'])}d}", "d": f"{new.day:0{len(own['d'])}d}"}
         return mark.join(parts[k] for k in order)
 
     def mail(self, found: str) -> str | None:
@@ -199,7 +223,7 @@ STOP = r"(?![\w-]|\.[0-9])"
 FORMS = [
     r"(?P<mail>(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     r"(?P<iban>(?<!\w)[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?(?!\w))",
-    rf"(?P<day>(?<![\w./-])(?:[0-9]{{4}}(?P<s1>[-./])[0-9]{{2}}(?P=s1)[0-9]{{2}}|[0-9]{{2}}(?P<s2>[-./])[0-9]{{2}}(?P=s2)[0-9]{{4}}){STOP})",
+    rf"(?P<day>(?<![\w./-])(?:[0-9]{{4}}(?P<s1>[-./])[0-9]{{1,2}}(?P=s1)[0-9]{{1,2}}(?=[Tt][0-9]{{2}})|(?:[0-9]{{4}}(?P<s2>[-./])[0-9]{{1,2}}(?P=s2)[0-9]{{1,2}}|[0-9]{{1,2}}(?P<s3>[-./])[0-9]{{1,2}}(?P=s3)[0-9]{{4}}){STOP}))",
     rf"(?P<address>(?<![\w.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{STOP})",
     r"(?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
     r"(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)|(?<![\w+(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![\w-]))",
@@ -303,14 +327,17 @@ def pseudonymise_text(text: str, using: Pseudonyms) -> tuple[str, list[tuple[int
 def pseudonymise(docs: DataFrame, key: str = "kindred", text: str = "text") -> DataFrame:
     """Replace personal numbers and dates in a text column, adding spans (start, stop, kind in the new text) and n_replaced.
 
-    Kinds: mail (the part before the @), IBAN and card numbers that are valid by their check digits,
-    dates of the calendar from 1900 to 2099, IPv4 addresses, US social security numbers, phone numbers
+    Kinds: mail (the part before the @), IBAN (of all countries of the registry, in one piece or in
+    fours) and card numbers that are valid by their check digits, dates of the calendar from 1900 to
+    2099 in digits, with the year first or last in four digits, also of ISO timestamps, whose time stays, IPv4 addresses, US social security numbers, phone numbers
     and hexadecimal secrets. A value is permuted within all values of its format under `key`, so equal
     values have equal pseudonyms in all documents, different ones different, and whoever has the key
     can go back; check digits are made right again and separators stay. What isn't valid stays as it
     is, but for valid values inside it that begin a word and end at a blank or where the pattern ends.
     A card is any 13 to 19 digits with Luhn's check digit, so one in ten other numbers of that length,
-    or such runs in a row of numbers, passes for one. Whole texts are searched; a null text stays null. Other columns are kept, but for columns named
+    or such runs in a row of numbers, passes for one. Left out: dates with the month's name, a year of
+    two digits, no separators or blanks in them, and dates that a word, a hyphen or an underscore joins; IBANs with other
+    separators than single blanks. Whole texts are searched; a null text stays null. Other columns are kept, but for columns named
     like the added ones. Every row stands for itself, so repeats and missing rows don't matter.
     """
     kept = [c for c in docs.columns if c not in ("spans", "n_replaced")]

@@ -143,6 +143,29 @@ def test_pseudonyms_try_every_place():
         assert list(pseudonyms._values(t, u)) == want, t
 
 
+def test_pseudonyms_of_all_countries_and_forms_of_dates():
+    u = pseudonyms.Pseudonyms("key")
+    hide = lambda t: pseudonyms.pseudonymise_text(t, u)
+    for iban in (
+        "CZ65 0800 0000 1920 0014 5399", "HU42 1177 3016 1111 1018 0000 0000", "RO49 AAAA 1B31 0075 9384 0000", "GR16 0110 1250 0000 0001 2300 695", "TR33 0006 1005 1978 6457 8413 26",
+        "SA03 8000 0000 6080 1016 7519", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "AE07 0331 2345 6789 0123 456", "SK31 1200 0000 1987 4263 7541", "HR12 1001 0051 8630 0016 0", "BR18 0036 0305 0000 1000 9795 493C 1",
+    ):
+        for one in (iban, iban.replace(" ", "")):
+            new, spans = hide(one + " and more")
+            assert spans == [(0, len(one), "iban")] and pseudonyms._iban_rest(new[: len(one)].replace(" ", "")) == 1 and not new.startswith(one), one
+    for t, size in [("3/4/2021", 8), ("13/4/2021", 9), ("1.12.1999.", 9), ("2021-3-4", 8), ("2021/3/14", 9), ("2021-03-04T10:00:00", 10), ("2021-03-04T10:00:00.5Z,", 10), ("2021-03-04t1000", 10)]:
+        new, spans = hide(t)
+        assert spans == [(0, size, "day")] and new[:size] != t[:size] and new[size:] == t[size:], t
+        assert re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", t) and hide(t)[0] == new
+    for t in ["31/4/2021", "2021-2-30", "2021-03-04Tee", "2021-03-045", "1.2.3", "1.2.2021.5", "0.1.2021", "3/4/21", "1-2-1850", "2021-03-04-05"]:
+        assert hide(t) == (t, []), t
+    for short in ("", "m", "d", "md"):
+        days = pseudonyms._days(short)
+        assert len({u.feistel.permute(k, len(days), "day" + short) for k in range(0, len(days), 7)}) == -(-len(days) // 7)
+    made = [hide(f"{d}.{m}.{y}")[0] for y in (1999, 2000) for m in range(1, 10) for d in range(1, 10)]
+    assert len(set(made)) == len(made) and {len(x) for x in made} == {8}
+
+
 def test_pseudonyms_keep_formats():
     u = pseudonyms.Pseudonyms("key")
     hide = lambda t: pseudonyms.pseudonymise_text(t, u)
