@@ -25,8 +25,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that hold ten neighbouring words of a benchmark item, or all of a shorter one."""
-    return positional.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
+    """Documents without those that hold ten neighbouring words of a benchmark item, all of one of five to nine, or more than half of whose words stand in shorter ones."""
+    return positional.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10, short_share=0.5)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

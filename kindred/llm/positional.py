@@ -147,12 +147,22 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, share: float = 0.0, least: int = 5) -> DataFrame:
+def without_contaminated(docs: DataFrame, items: DataFrame, width: int = 10, share: float = 0.0, least: int = 5, short_share: float | None = None) -> DataFrame:
     """The rows of docs without documents of which more than `share` of the words stand in the items.
 
-    Items of fewer than `least` words say nothing about a document and are left out. An id that any
-    contaminated document has goes; rows with a null id stay.
+    That an item of fewer than `least` words occurs says little about a document, so `share` leaves
+    these out: a document goes for them only if more than `short_share` of its words stand in such
+    items, and never if that is None. An id that any contaminated document has goes; rows with a null id
+    stay.
     """
-    found = contamination(docs, items.where(F.size(words_of(F.col("text"))) >= least), width)
-    gone = found.where(F.col("contaminated") & (F.col("n_hit") > F.lit(share) * F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    size = F.size(words_of(F.col("text")))
+
+    def beyond(some: DataFrame, most: float) -> DataFrame:
+        found = contamination(docs, some, width)
+        return found.where(F.col("contaminated") & (F.col("n_hit") > F.lit(most) * F.col("n_words"))).select("doc_id")
+
+    gone = beyond(items.where(size >= least), share)
+    short = items.where((size > 0) & (size < least))
+    if short_share is not None and not short.isEmpty():
+        gone = gone.union(beyond(short, short_share))
+    return docs.join(gone.distinct(), "doc_id", "left_anti")

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kindred.llm import components, jaccard, language, lm, media, packing, positional, pseudonyms, sharding, toxicity, urlfilter
 
 
@@ -81,6 +82,17 @@ def test_contamination(spark, corpus, nothing):
     assert kept.columns == docs.columns and {300, 303} & {r.doc_id for r in kept.collect()} == set() and kept.count() == docs.count() - 2
 
 
+def test_documents_made_of_short_items_go(spark, tmp_path):
+    texts = [(1, "One, two"), (2, "one two three"), (3, "one two three four"), (4, "one two three four five"), (5, "x a b c d e"), (6, "plain"), (7, "one two the one two"), (None, "one two"), (8, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two"), (2, "a b c d e"), (3, ""), (4, None)], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path))
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 4, 6, 8, None]
+    assert positional.without_contaminated(docs, items).count() == len(texts) - 1
+    assert positional.without_contaminated(docs, items.where("item_id > 1"), short_share=0.5).count() == len(texts) - 1
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a x b x x a"), (2, "b x x x a"), (3, "a b c"), (4, None)], "doc_id long, text string")
     queries = spark.createDataFrame([(7, ["a", "b"]), (8, ["a", "zz"]), (9, ["a", "a"])], "query_id long, words array<string>")
