@@ -8,17 +8,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.fitting import bounded_sample, fit_in_task
 from kindred.llm.text import CHUNK_BYTES, NO_LETTER, Counter64, Remembered, Spelled, buffers, chunks, words
+from kindred.session import settle
 
 LONGEST = 5
 SMOOTH = 0.5
 UNKNOWN = "und"
-MAX_WORDS = 400_000
-MAX_GRAMS = 400_000
 
 
 @dataclass
@@ -75,19 +74,15 @@ def _log(counts: Counter64) -> Counter64:
     return Counter64(counts.keys, np.log((counts.values + SMOOTH) / totals))
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]], most: int) -> Counter64:
-    """Sum rows of equal keys; where there are more than `most`, keep the most frequent."""
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> Counter64:
+    """Sum rows of equal keys."""
     keys, values = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     distinct, places = np.unique(keys, return_inverse=True)
-    out = np.stack([np.bincount(places, values[:, k], len(distinct)) for k in range(values.shape[1])], axis=1)
-    if len(distinct) > most:
-        kept = np.sort(np.argsort(-out.sum(axis=1), kind="stable")[:most])
-        distinct, out = distinct[kept], out[kept]
-    return Counter64(distinct, out)
+    return Counter64(distinct, np.stack([np.bincount(places, values[:, k], len(distinct)) for k in range(values.shape[1])], axis=1))
 
 
-def learn(texts: pa.Array, names: list[str], labels: np.ndarray) -> Model:
-    """A model from lower-cased texts with the place of each one's language in `names`."""
+def learn(texts: pa.Array, names: list[str], labels: np.ndarray, n_rows: np.ndarray) -> Model:
+    """A model from lower-cased texts with the place of each one's language in `names`; n_rows: of each language, in all."""
     data, offsets = buffers(texts)
     found: list[list] = [[] for _ in range(LONGEST + 1)]
 
@@ -120,29 +115,54 @@ def learn(texts: pa.Array, names: list[str], labels: np.ndarray) -> Model:
             distinct, where = np.unique(codes[usable], return_inverse=True)
             found[width].append((distinct, np.stack([np.bincount(where, mine[:, k], len(distinct)) for k in range(len(names))], axis=1)))
     none = [(np.zeros(0, np.uint64), np.zeros((0, len(names))))]
-    tables = [_log(_merged(f or none, MAX_WORDS if k == 0 else MAX_GRAMS)) for k, f in enumerate(found)]
-    share = np.bincount(labels, minlength=len(names)) + 1.0
+    tables = [_log(_merged(f or none)) for f in found]
+    share = n_rows + 1.0
     return Model(names, np.log(share / share.sum()), tables[0], tables[1:])
 
 
+def _quotas(counts: dict[str, int], most: int) -> dict[str, int]:
+    """How many of each language to take, `most` in all: all of small ones, equal numbers of the others."""
+    out, left = {}, most
+    for k, lang in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        out[lang] = min(counts[lang], left // (len(counts) - k))
+        left -= out[lang]
+    return out
+
+
+def sample_by_language(usable: DataFrame, most: int) -> tuple[DataFrame, dict[str, int]]:
+    """At most `most` ids, of every language those first by a hash of doc_id; and how many rows each language has.
+
+    Only ids whose hash is below a bound that leaves a few more than are wanted are put in order.
+    """
+    pairs = settle(usable.where("doc_id is not null").groupBy("lang", "doc_id").agg(F.count("*").alias("n")), "pairs")
+    found = pairs.groupBy("lang").agg(F.count("*").alias("n_ids"), F.sum("n").alias("n_rows")).collect()
+    counts = {r.lang: r.n_ids for r in found}
+    wanted = [(lang, n, (n + 8 * n**0.5 + 50) / counts[lang]) for lang, n in _quotas(counts, most).items()]
+    place = F.xxhash64("doc_id")
+    near = pairs.join(F.broadcast(usable.sparkSession.createDataFrame(wanted, "lang string, quota long, bound double")), "lang").where(place / 2.0**64 + 0.5 <= F.col("bound"))
+    first = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id")))
+    return first.where("rank <= quota").select("doc_id").distinct(), {r.lang: r.n_rows for r in found}
+
+
 def predict_language(docs: DataFrame, train: Column, max_train_rows: int = 12_000) -> DataFrame:
     """Predict the language of every whole text, learning from `lang` of the rows where `train` holds.
 
     docs: doc_id, text, lang and any others, which are ignored. Returns doc_id, lang_pred and score, a
     row for each row of the input. The classifier is fitted on the rows of at most `max_train_rows`
-    ids that have a lang and a text, those first by a hash of doc_id; nothing else is bounded. A word is a run of
-    letters (and of all that isn't ASCII), lower-cased. Each word's log frequencies (in how many
+    ids that have a lang and a text: all ids of small languages and equally many of the others, those
+    first by a hash of doc_id. How frequent the languages are is counted over all rows. Nothing else is
+    bounded: all words and n-grams of the sample are kept. A word is a run of letters (and of all that isn't ASCII), lower-cased. Each word's log frequencies (in how many
     documents it occurs) are added up for each language; score is the share of the best one after dividing by the root of the number of
     words, so that long texts don't all score 1. A text that is null or has no letter is und with a
     score of 0; so is every text where nothing can be learned from.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has"), "lang", train.alias("train"))
     usable = own.where("train and lang is not null and has")
-    ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows)
+    ids, n_rows = sample_by_language(usable, max_train_rows)
 
     def fit(rows: pa.Table) -> Model:
         names = sorted(set(rows["lang"].to_pylist()))
-        return learn(rows["text"].combine_chunks(), names, np.array([names.index(x) for x in rows["lang"].to_pylist()], np.int64))
+        return learn(rows["text"].combine_chunks(), names, np.array([names.index(x) for x in rows["lang"].to_pylist()], np.int64), np.array([n_rows[x] for x in names]))
 
     shared = docs.sparkSession.sparkContext.broadcast(fit_in_task(bounded_sample(usable, ids, ["text", "lang"]), fit))
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +138,19 @@ def test_language(corpus, nothing):
     assert {r.lang_pred for r in unlearned.collect()} == {"und"}
 
 
+def test_small_languages_and_rare_words_are_learned(spark):
+    rows = [(k, f"common word number{chr(97 + k % 26)} the of", "en") for k in range(600)] + [(1000 + k, "zwar doch nun eben", "de") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.predict_language(docs, F.lit(True), max_train_rows=20).where("doc_id >= 1000").collect()
+    assert [r.lang_pred for r in found] == ["de"] * 4
+    ids, n_rows = language.sample_by_language(docs.union(docs.where("doc_id = 7")), 20)
+    kept = {r.doc_id for r in ids.collect()}
+    assert len(kept) == 20 and {1000, 1001, 1002, 1003} <= kept and n_rows == {"en": 601, "de": 4}
+    assert language._quotas({"a": 5, "b": 100, "c": 1}, 50) == {"c": 1, "a": 5, "b": 44}
+    keys = np.arange(500_000, dtype=np.uint64)
+    assert len(language._merged([(keys, np.ones((len(keys), 2)))]).keys) == len(keys)
+
+
 def test_shards(corpus, nothing):
     docs = twice(corpus)
     rows = sharding.shard_by_bytes(docs, 7).collect()
