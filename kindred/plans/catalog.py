@@ -194,7 +194,7 @@ def group_folds(spark, sf_dir):
 
 def oof_scores(spark, sf_dir):
     rows = settle(features.engineer_features(truth.attach_labels(attach_attributes(spark, sf_dir), truth_long(spark, sf_dir))), "rows")
-    return model.out_of_fold(rows, 3, model.Trees(iterations=3, depth=3)).select(S, C, "label", "probability")
+    return model.out_of_fold(rows).select(S, C, "label", "probability")
 
 
 def validate_submission(spark, sf_dir):
@@ -214,8 +214,7 @@ def matches_beyond_candidates(spark, sf_dir):
 
 
 def sensitivity_report(spark, sf_dir):
-    options = linkage.Options(folds=2, max_candidates=5, trees=model.Trees(iterations=2, depth=3))
-    return linkage.sensitivity_report(*V.sides(spark, sf_dir, "part"), V.truth_lists(spark, sf_dir, "part"), options, (60, 10_000))
+    return linkage.sensitivity_report(*V.sides(spark, sf_dir, "part"), V.truth_lists(spark, sf_dir, "part"), linkage.Options(), (60, *linkage.SAMPLE_SIZES))
 
 
 QUERIES = {

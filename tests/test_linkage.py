@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kindred.functions import similarity
 from kindred.functions import text as T
 from kindred.operators import blocking, features, metrics, model, sampling, selection, submission, truth
+from kindred.plans import catalog
 
 S, C = "source1_entity_id", "candidate_entity_id"
 
@@ -237,3 +238,12 @@ def test_rare_positives_keep_their_probability(spark):
 def test_composition_equals_the_library(spark):
     text = "é 가 Å"
     assert normalized(spark, [text, "ascii"], T.nfc) == [unicodedata.normalize("NFC", text), "ascii"]
+
+
+def test_model_queries_run_with_the_defaults(spark, monkeypatch):
+    sf, calls = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(catalog.model, "out_of_fold", lambda rows, *args, **more: calls.append((args, more)) or rows.withColumn("probability", F.lit(0.5)))
+    monkeypatch.setattr(catalog.linkage, "sensitivity_report", lambda s, v, t, options, sizes: calls.append((options, sizes)))
+    catalog.oof_scores(spark, sf)
+    catalog.sensitivity_report(spark, sf)
+    assert calls[0] == ((), {}) and calls[1][0] == catalog.linkage.Options() and set(calls[1][1]) >= {10_000, 50_000, 100_000}
