@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -29,20 +30,50 @@ def local_session(cores: str = "8", memory: str = "12g", name: str = "kindred")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master a temporary one where it is unset."""
     context = spark.sparkContext
     given = context.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     if given:
         return given.rstrip("/")
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("spark.checkpoint.dir isn't set: on a cluster, tables need a folder that all executors share")
     if not hasattr(context, "_kindred_folder"):
         context._kindred_folder = tempfile.mkdtemp(prefix="kindred-")
         atexit.register(shutil.rmtree, context._kindred_folder, True)
     return f"file://{context._kindred_folder}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in the store that its path names, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before the interpreter does
+        delete(spark, path)
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write a frame as Parquet in the shared folder and read it again: its lineage ends there, and no executor holds it."""
+    """Write a frame as Parquet in the shared folder and read it again: its lineage ends there, and no executor holds it.
+
+    The tables of an application are below one folder, which goes when the driver's interpreter ends;
+    `release` deletes a table as soon as nothing reads it any more.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kindred/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/kindred/{spark.sparkContext.applicationId}"
+    if getattr(spark.sparkContext, "_kindred_tables", None) != folder:
+        spark.sparkContext._kindred_tables = folder
+        atexit.register(_forget, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._kindred_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `settle` returned. No frame made from them can be read after this."""
+    for table in tables:
+        if path := getattr(table, "_kindred_path", None):
+            delete(table.sparkSession, path)
