@@ -21,6 +21,7 @@ ADDRESS_ALIASES = {
     "suite": "ste",
     "apartment": "apt",
 }
+LEGAL_ENDINGS = ("incorporated", "inc", "llc", "ltd", "limited", "corp", "corporation", "gmbh", "co", "pvt", "private")
 LEGAL_SUFFIX = r"[,\. ]+(incorporated|inc[.]?|llc|ltd[.]?|limited|corp[.]?|corporation|gmbh|co[.]?|pvt[.]?|private)[,\. ]*$"
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -47,11 +48,9 @@ def abbreviate(normalized: Column) -> Column:
 
 
 def abbreviate_by_replacement(normalized: Column) -> Column:
-    """The same by replacing in the padded text, which misses the second of two equal neighbours."""
-    padded = F.concat(F.lit(" "), normalized, F.lit(" "))
-    for word, short in ADDRESS_ALIASES.items():
-        padded = F.replace(padded, F.lit(f" {word} "), F.lit(f" {short} "))
-    return F.trim(padded)
+    """The same by replacing in the padded text, alias after alias, which misses the second of two equal neighbours."""
+    aliases = F.array(*[F.struct(F.lit(f" {x} ").alias("long"), F.lit(f" {y} ").alias("short")) for x, y in ADDRESS_ALIASES.items()])
+    return F.aggregate(aliases, F.concat(F.lit(" "), normalized, F.lit(" ")), lambda t, alias: F.replace(t, alias["long"], alias["short"]), lambda t: F.trim(t))
 
 
 def normalize_address(text: Column) -> Column:

@@ -297,18 +297,17 @@ def _norm(view: str) -> str:
 
 
 def _addresses(view: str) -> str:
-    return f"WITH {V.entities_sql(view)} SELECT entity_id, {V.abbreviated_sql(V.normalized_sql('business_address'))} AS normalized_address FROM entities"
+    return f"WITH {V.entities_sql(view)} SELECT entity_id, {V.abbreviated_sql(V.words_sql('business_address'))} AS normalized_address FROM entities"
 
 
 def _all_keys(view: str) -> str:
     return f"WITH {V.keys_sql(view)} SELECT entity_id, normalized_name, normalized_address, legal_name, CAST(name_length AS INTEGER) AS name_length, CAST(address_length AS INTEGER) AS address_length, key_exact_name, key_word_digit, key_exact_addr, key_legal_name FROM keys"
 
 
-def _padded(x: str) -> str:
-    out = f"' ' || ({x}) || ' '"
-    for word, short in T.ADDRESS_ALIASES.items():
-        out = f"replace({out}, ' {word} ', ' {short} ')"
-    return f"trim({out})"
+def _replaced(x: str) -> str:
+    """Alias after alias replaced in the padded text, as a fold."""
+    aliases = ", ".join(f"'{long}={short}'" for long, short in T.ADDRESS_ALIASES.items())
+    return f"trim(list_reduce([concat(' ', {x}, ' '), {aliases}], lambda t, alias: replace(t, ' ' || split_part(alias, '=', 1) || ' ', ' ' || split_part(alias, '=', 2) || ' ')))"
 
 
 _PLAIN = "entity_id, business_name, business_address"
@@ -332,7 +331,7 @@ ORACLES = {
     "norm_name_documents": _norm("documents"),
     "norm_address": _addresses("part"),
     "norm_address_documents": _addresses("documents"),
-    "alias_replacement": f"WITH {V.entities_sql('part')} SELECT entity_id, {_padded(V.normalized_sql('''concat_ws(' ', business_address, 'street street road lane')'''))} AS address FROM entities",
+    "alias_replacement": f"WITH {V.entities_sql('part')} SELECT entity_id, {_replaced(V.normalized_sql('''concat_ws(' ', business_address, 'street street road lane')'''))} AS address FROM entities",
     "first_word_number": f"WITH {V.entities_sql('part')} SELECT entity_id, regexp_extract({V.normalized_sql('business_name')}, '^[\\p{{L}}\\p{{N}}]+', 0) AS first_word, regexp_extract(coalesce(business_address, ''), '[0-9]+', 0) AS first_number FROM entities",
     "legal_name": f"WITH {V.keys_sql('part')} SELECT entity_id, legal_name FROM keys",
     "blocking_keys": _all_keys("part"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions.text import ADDRESS_ALIASES, LEGAL_SUFFIX
+from kindred.functions.text import ADDRESS_ALIASES, LEGAL_ENDINGS
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,51 +82,62 @@ def entities_sql(view: str) -> str:
             FROM documents)"""
 
 
+def words_sql(x: str) -> str:
+    """The list of a text's runs of letters and numbers, composed and lower-cased, with & as a word of its own."""
+    return f"regexp_extract_all(nfc_normalize(lower(replace(coalesce({x}, ''), '&', ' and '))), '[\\p{{L}}\\p{{N}}]+')"
+
+
 def normalized_sql(x: str) -> str:
-    return f"trim(regexp_replace(replace(nfc_normalize(lower(coalesce({x}, ''))), '&', ' and '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    return f"array_to_string({words_sql(x)}, ' ')"
 
 
-def abbreviated_sql(x: str) -> str:
-    cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in ADDRESS_ALIASES.items())
-    return f"array_to_string(list_transform(string_split({x}, ' '), lambda w: CASE w {cases} ELSE w END), ' ')"
+def abbreviated_sql(words: str) -> str:
+    """A list of words, those with a short form in it, as text."""
+    short = ", ".join(f"'{long}': '{brief}'" for long, brief in ADDRESS_ALIASES.items())
+    return f"array_to_string([coalesce(MAP {{{short}}}[w], w) FOR w IN {words}], ' ')"
 
 
-def legal_sql(x: str) -> str:
-    return f"trim(regexp_replace(regexp_replace({x}, '{LEGAL_SUFFIX}', '', 'g'), '{LEGAL_SUFFIX}', '', 'g'))"
+def legal_sql(words: str) -> str:
+    """A list of words without its last one or two if these end company names; the first word always stays."""
+    last = ", ".join(f"'{w}'" for w in LEGAL_ENDINGS)
+    ends = f"[list_contains([{last}], {words}[len({words}) - k]) AND len({words}) > k + 1 FOR k IN [0, 1]]"
+    return f"array_to_string({words}[:len({words}) - CASE WHEN NOT {ends}[1] THEN 0 WHEN NOT {ends}[2] THEN 1 ELSE 2 END], ' ')"
 
 
 def keys_sql(view: str) -> str:
     """CTEs entities and keys: everything that blocking_keys makes, and k."""
-    return f"""{entities_sql(view)}, normal AS (
-            SELECT *, {normalized_sql("business_name")} AS normalized_name, {abbreviated_sql(normalized_sql("business_address"))} AS normalized_address FROM entities
+    return f"""{entities_sql(view)}, parts AS (
+            SELECT entity_id, k, t, {words_sql("business_name")} AS name, {words_sql("business_address")} AS place, regexp_extract_all(business_address, '[0-9]+')[1] AS number FROM entities
         ), keys AS (
-            SELECT entity_id, k, t, normalized_name, normalized_address, {legal_sql("normalized_name")} AS legal_name,
+            SELECT entity_id, k, t, array_to_string(name, ' ') AS normalized_name, {abbreviated_sql("place")} AS normalized_address, {legal_sql("name")} AS legal_name,
                 length(normalized_name) AS name_length, length(normalized_address) AS address_length, nullif(normalized_name, '') AS key_exact_name,
-                CASE WHEN regexp_extract(normalized_name, '^[\\p{{L}}\\p{{N}}]+', 0) <> '' AND regexp_extract(coalesce(business_address, ''), '[0-9]+', 0) <> ''
-                    THEN regexp_extract(normalized_name, '^[\\p{{L}}\\p{{N}}]+', 0) || '_' || regexp_extract(coalesce(business_address, ''), '[0-9]+', 0) END AS key_word_digit,
-                nullif(normalized_address, '') AS key_exact_addr, nullif({legal_sql("normalized_name")}, '') AS key_legal_name
-            FROM normal
+                name[1] || '_' || number AS key_word_digit, nullif(normalized_address, '') AS key_exact_addr, nullif(legal_name, '') AS key_legal_name
+            FROM parts
         )"""
 
 
 def matches_sql(view: str) -> str:
-    """CTEs up to matches (s, v, kind, gap) and pairs (s, v, n, gap)."""
-    branches = " UNION ALL ".join(
-        f"SELECT a.entity_id AS s, b.entity_id AS v, '{kind}' AS kind, abs(a.name_length - b.name_length) + abs(a.address_length - b.address_length) AS gap "
-        f"FROM keys a JOIN keys b ON a.key_{kind} = b.key_{kind} AND a.k % 3 = 0 AND b.k % 3 <> 0"
-        for kind in ("exact_name", "word_digit", "exact_addr", "legal_name")
-    )
-    return f"""{keys_sql(view)}, matches AS ({branches}
-        ), pairs AS (SELECT s, v, count(DISTINCT kind) AS n, min(gap) AS gap FROM matches GROUP BY s, v)"""
+    """CTEs up to matches (s, v, kind, gap) and pairs (s, v, n, gap). All kinds of keys are one list of each entity."""
+    held = ", ".join(f"{{'kind': '{kind}', 'key': key_{kind}}}" for kind in ("exact_name", "word_digit", "exact_addr", "legal_name"))
+    return f"""{keys_sql(view)}, held AS (
+            SELECT entity_id, k % 3 = 0 AS wanted, name_length, address_length, unnest([{held}]) AS one FROM keys
+        ), matches AS (
+            SELECT a.entity_id AS s, b.entity_id AS v, a.one.kind AS kind, abs(a.name_length - b.name_length) + abs(a.address_length - b.address_length) AS gap
+            FROM held a JOIN held b ON a.one = b.one WHERE a.wanted AND NOT b.wanted AND a.one.key IS NOT NULL
+        ), pairs AS (
+            SELECT s, v, count(DISTINCT kind) AS n, min(gap) AS gap FROM matches GROUP BY s, v
+        )"""
 
 
 def scored_sql(view: str) -> str:
-    """CTEs up to scored (s, v, n, gap, score)."""
-    part = lambda c: f"CASE WHEN a.{c} <> '' AND b.{c} <> '' THEN jaro_winkler_similarity(a.{c}, b.{c}) ELSE 0.0 END"
-    return f"""{matches_sql(view)}, scored AS (
-            SELECT p.*, 0.7 * CASE WHEN a.normalized_name <> '' AND b.normalized_name <> '' THEN greatest({part("normalized_name")}, {part("legal_name")}) ELSE 0.0 END
-                + 0.3 * {part("normalized_address")} AS score
-            FROM pairs p JOIN keys a ON p.s = a.entity_id JOIN keys b ON p.v = b.entity_id
+    """CTEs up to scored (s, v, n, gap, score). Each pair has a row for the weight of names and one for that of addresses; the best of the texts compared counts."""
+    texts = {0.7: ("normalized_name", "legal_name"), 0.3: ("normalized_address",)}
+    compared = ", ".join(f"{{'weight': {weight}, 'texts': [{', '.join(f'[a.{c}, b.{c}]' for c in columns)}]}}" for weight, columns in texts.items())
+    return f"""{matches_sql(view)}, compared AS (
+            SELECT p.*, unnest([{compared}]) AS c FROM keys a JOIN pairs p ON p.s = a.entity_id JOIN keys b ON b.entity_id = p.v
+        ), scored AS (
+            SELECT s, v, n, gap, sum(c.weight * coalesce(list_max([jaro_winkler_similarity(x[1], x[2]) FOR x IN c.texts IF x[1] <> '' AND x[2] <> '']), 0)) AS score
+            FROM compared GROUP BY s, v, n, gap
         )"""
 
 
