@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Texts recur in pairs: so many results of each kernel are kept in a worker.
+CACHED = 100_000
+
+
+@lru_cache(CACHED)
 def jaro_winkler(a, b) -> float:
     """Jaro-Winkler of two sequences: 0 if either is empty; up to four equal first elements count a tenth each, above 0.7 only."""
     if not len(a) or not len(b):
@@ -53,6 +60,7 @@ def common_length(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+@lru_cache(CACHED)
 def ratio(a: str, b: str) -> float:
     """0 to 100: twice the common subsequence over both lengths; two empty texts are equal."""
     if a == b:
@@ -60,10 +68,12 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * common_length(a, b) / (len(a) + len(b))
 
 
+@lru_cache(CACHED)
 def token_sort_ratio(a: str, b: str) -> float:
     return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
 
+@lru_cache(CACHED)
 def token_set_ratio(a: str, b: str) -> float:
     """The best of comparing the shared tokens, and these with either side's others; 0 if either side has no token."""
     x, y = set(a.split()), set(b.split())
@@ -89,6 +99,7 @@ def _best_window(short: str, long: str) -> float:
     return best
 
 
+@lru_cache(CACHED)
 def partial_ratio(a: str, b: str) -> float:
     """The shorter text against the best of all windows of its length, and of shorter ones at the ends."""
     if not a and not b:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import text as T
 from kindred.functions.similarity import jaro_winkler_bytes
+from kindred.session import settle
 from kindred.sources.tsv import ENTITY_COLUMNS, require_columns
 
 KEY_KINDS = ["exact_name", "word_digit", "exact_addr", "legal_name"]
@@ -104,5 +105,5 @@ def candidate_pairs(source: DataFrame, vendors: DataFrame, top_k: int = 30, digi
         raise ValueError("top_k must be at least 1")
     for df, label in ((source, "Source 1"), (vendors, "Vendors")):
         require_columns(df, ENTITY_COLUMNS, label)
-    s, v = blocking_keys(source, PAIR[0]).persist(), blocking_keys(vendors, PAIR[1]).persist()
+    s, v = settle(blocking_keys(source, PAIR[0]), "source_keys"), settle(blocking_keys(vendors, PAIR[1]), "vendor_keys")
     return top_candidates(deduplicated(candidate_matches(s, v)), s, v, top_k, digits)

@@ -87,7 +87,13 @@ def _shown(df: DataFrame, column: str) -> tuple[int, str]:
     return n, ", ".join(first) + (", ..." if n > SHOWN else "")
 
 
-def _check_file(spark: SparkSession, path: str, column: str, required: DataFrame, known: DataFrame | None, errors: list[str]) -> DataFrame | None:
+def row_counts(rows: DataFrame) -> tuple[int, int]:
+    """How many rows there are, and how many of them have an empty list."""
+    r = rows.agg(F.count("*").alias("rows"), F.count_if(F.size("ids") == 0).alias("empty")).first()
+    return r.rows, r.empty
+
+
+def _check_file(spark: SparkSession, path: str, column: str, required: DataFrame, known: DataFrame | None, errors: list[str], counts: dict[str, tuple[int, int]] | None) -> DataFrame | None:
     name = os.path.basename(path)
     if not os.path.isfile(path):
         errors.append(f"{path}: no such file")
@@ -106,9 +112,15 @@ def _check_file(spark: SparkSession, path: str, column: str, required: DataFrame
     if columns != HEADERS[column]:
         errors.append(f"{name}: the header is {columns} and must be {HEADERS[column]}")
         return None
-    for r in lines.where((F.col("line") > 1) & ~F.contains("value", F.lit("\t")) & (F.trim("value") != "")).orderBy("line").collect():
-        errors.append(f"{name}: malformed row without a TAB at line {r.line}: {r.value!r}")
+    malformed = lines.where((F.col("line") > 1) & ~F.contains("value", F.lit("\t")) & (F.trim("value") != ""))
+    if n := malformed.count():
+        for r in malformed.orderBy("line").limit(SHOWN).collect():
+            errors.append(f"{name}: malformed row without a TAB at line {r.line}: {r.value!r}")
+        if n > SHOWN:
+            errors.append(f"{name}: {n - SHOWN} more {MESSAGES['malformed_row']}")
     rows = result_rows(lines)
+    if counts is not None:
+        counts[name] = row_counts(rows)
     broken = rule_violations(rows, required, known).persist()
     for r in broken.groupBy("rule").count().collect():
         n, shown = _shown(broken.where(F.col("rule") == r.rule).select("offender"), "offender")
@@ -117,14 +129,26 @@ def _check_file(spark: SparkSession, path: str, column: str, required: DataFrame
     return rows
 
 
-def validate(spark: SparkSession, matching_path: str, candidate_path: str | None, test_dir: str, check_ids: bool = False) -> tuple[list[str], list[str]]:
-    """Check both result files against the test records: errors that make them invalid, and warnings."""
+def validate(
+    spark: SparkSession, matching_path: str, candidate_path: str | None, test_dir: str, check_ids: bool = False, counts: dict[str, tuple[int, int]] | None = None
+) -> tuple[list[str], list[str]]:
+    """Check both result files against the test records: errors that make them invalid, and warnings. counts, if given, gets each file's rows and empty lists."""
+    held: list[DataFrame] = []
+    try:
+        return _validated(spark, matching_path, candidate_path, test_dir, check_ids, counts, held)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _validated(spark, matching_path, candidate_path, test_dir, check_ids, counts, held) -> tuple[list[str], list[str]]:
     errors: list[str] = []
     warnings: list[str] = []
     source = os.path.join(test_dir, "test_source1.tsv")
     if not os.path.isfile(source):
         return [f"{source}: no such file"], []
     required, known = read_ids(spark, source).persist(), None
+    held.append(required)
     if check_ids:
         paths = [os.path.join(test_dir, f"test_source{k}.tsv") for k in (2, 3)]
         absent = [p for p in paths if not os.path.isfile(p)]
@@ -132,12 +156,13 @@ def validate(spark: SparkSession, matching_path: str, candidate_path: str | None
             warnings.append(f"{absent[0]}: no such file; whether ids exist isn't checked")
         else:
             known = read_ids(spark, paths[0]).union(read_ids(spark, paths[1])).distinct().persist()
+            held.append(known)
     else:
         warnings.append("whether ids exist isn't checked (check_ids is off)")
-    matches = _check_file(spark, matching_path, "matched_entity_ids", required, known, errors)
+    matches = _check_file(spark, matching_path, "matched_entity_ids", required, known, errors, counts)
     candidates = None
     if candidate_path and os.path.isfile(candidate_path):
-        candidates = _check_file(spark, candidate_path, "candidate_entity_ids", required, known, errors)
+        candidates = _check_file(spark, candidate_path, "candidate_entity_ids", required, known, errors, counts)
     elif candidate_path:
         warnings.append(f"{candidate_path}: no such file; candidates aren't checked")
     if matches is not None and candidates is not None:
@@ -149,11 +174,14 @@ def validate(spark: SparkSession, matching_path: str, candidate_path: str | None
 
 def exit_code(spark: SparkSession, *paths, **options) -> int:
     """0 if both files are valid, else 1; prints what was found."""
+    counts: dict[str, tuple[int, int]] = {}
     try:
-        errors, warnings = validate(spark, *paths, **options)
+        errors, warnings = validate(spark, *paths, counts=counts, **options)
     except (NotText, OSError) as e:
         print(f"FAIL: not UTF-8 text, or not readable: {e}")
         return 1
+    for name, (rows, empty) in counts.items():
+        print(f"{name}: {rows} rows ({empty} empty, {rows - empty} non-empty)")
     for w in warnings:
         print(f"WARNING: {w}")
     for e in errors:

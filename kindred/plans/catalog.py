@@ -104,7 +104,7 @@ def truth_long(spark, sf_dir):
 
 def truth_subset(spark, sf_dir):
     ids = sampling.sample_records(V.sides(spark, sf_dir, "part")[0].select("entity_id"), 100)
-    return truth.truth_pairs(V.truth_lists(spark, sf_dir, "part"), ids)
+    return truth.truth_pairs(V.repeated_truth(spark, sf_dir, "part"), ids, "line")
 
 
 def labels(spark, sf_dir):

@@ -55,6 +55,13 @@ def truth_lists(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return lists.groupBy("source1_entity_id").agg(F.coalesce(F.array_join(F.sort_array(F.collect_set("c")), ", "), F.lit("")).alias("matched_entity_ids"))
 
 
+def repeated_truth(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    """The same with a column line, after older rows of the same records with other lists."""
+    lists = truth_lists(spark, sf_dir, view)
+    older = lists.select("source1_entity_id", F.concat_ws(",", F.lit("S2-0"), "matched_entity_ids").alias("matched_entity_ids"), F.lit(1).alias("line"))
+    return older.union(lists.withColumn("line", F.lit(2)))
+
+
 def pseudo_probability(pairs: DataFrame, source: str = "source1_entity_id", vendor: str = "candidate_entity_id") -> DataFrame:
     """A probability in hundredths that follows from the two ids alone."""
     number = lambda c: F.substring(c, 4, 20).cast("long")

@@ -133,3 +133,54 @@ def test_sensitivity_is_asked_for_by_flag(monkeypatch, spark):
     cli.main([], spark)
     assert called == ["run"] and not cli.parser().parse_args([]).report_sample_sensitivity
     assert Trees().iterations == 50
+
+
+def test_counts_of_rows_and_the_first_malformed_lines(spark, results, capsys):
+    folder, write = results
+    path = write("S1-1\tS2-1\nS1-2\t\nS1-3\t \n" + "no tab\n" * 9)
+    counts = {}
+    errors, _ = validation.validate(spark, path, None, str(folder), counts=counts)
+    assert counts == {"m.tsv": (3, 2)}
+    assert sum("malformed row" in e for e in errors) == 5 and sum("4 more rows without a TAB" in e for e in errors) == 1
+    assert validation.exit_code(spark, path, None, str(folder)) == 1
+    assert "m.tsv: 3 rows (2 empty, 1 non-empty)" in capsys.readouterr().out
+
+
+def test_commands(spark, results, tmp_path, monkeypatch, capsys):
+    folder, write = results
+    path = write("S1-1\tS2-1\nS1-2\tS3-7\nS1-3\t\n")
+    given = ["validate", "-m", path, "-c", "none.tsv", "--test-dir", str(folder)]
+    assert cli.main(given, spark) == 0 and "PASS" in capsys.readouterr().out
+    assert cli.main([*given, "--check-ids"], spark) == 1 and "S3-7" in capsys.readouterr().out
+    with pytest.raises(FileNotFoundError):
+        cli.main(["package", "--team-name", "t", "--root", str(tmp_path)])
+    for name in (*cli.RESULTS, f"{cli.SOURCES}/a/b.py", *cli.DOCUMENTS):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    assert cli.main(["package", "--team-name", "t", "--root", str(tmp_path)]) == 0
+    assert sorted(zipfile.ZipFile(tmp_path / "t_submission.zip").namelist()) == sorted([*cli.RESULTS, f"{cli.SOURCES}/a/b.py", *cli.DOCUMENTS])
+
+
+def test_one_file_of_many_parts_keeps_the_order(spark, tmp_path):
+    rows = [(f"S1-{k}", "a\tb" if k == 5 else "") for k in range(40)]
+    df = spark.createDataFrame(rows, "source1_entity_id string, matched_entity_ids string").repartitionByRange(7, "source1_entity_id").sortWithinPartitions("source1_entity_id")
+    path = tmp_path / "m.tsv"
+    for _ in range(2):
+        tsv.write_tsv(df, str(path))
+    back = tsv.read_tsv(spark, str(path), tsv.TRUTH_COLUMNS, tsv.TRUTH_COLUMNS)
+    assert [tuple(r) for r in back.collect()] == sorted(rows) and sorted(p.name for p in tmp_path.iterdir()) == ["m.tsv"]
+    tsv.write_tsv(df.limit(0), str(path))
+    assert path.read_text() == "source1_entity_id\tmatched_entity_ids\n"
+    plain = tmp_path / "p.tsv"
+    plain.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join(f"S1-{k}\tn\ta\tc\n" for k in range(50)))
+    assert tsv.read_entities(spark, str(plain), line_ends=False).count() == 50
+
+
+def test_tables_of_the_run_are_below_one_folder_and_can_be_released(spark):
+    from kindred import session
+
+    table = session.settle(spark.range(5), "t")
+    assert table.count() == 5 and spark.sparkContext.applicationId in table._kindred_path
+    session.release(table)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table._kindred_path)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

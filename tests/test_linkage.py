@@ -247,3 +247,91 @@ def test_model_queries_run_with_the_defaults(spark, monkeypatch):
     catalog.oof_scores(spark, sf)
     catalog.sensitivity_report(spark, sf)
     assert calls[0] == ((), {}) and calls[1][0] == catalog.linkage.Options() and set(calls[1][1]) >= {10_000, 50_000, 100_000}
+
+
+def common(a, b):
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        row = [0]
+        for k, y in enumerate(b):
+            row.append(max(rows[-1][k] + 1 if x == y else 0, rows[-1][k + 1], row[k]))
+        rows.append(row)
+    return rows[-1][-1]
+
+
+def plain_ratio(a, b):
+    return 200 * common(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def plain_jaro_winkler(a, b):
+    if not a or not b:
+        return 0.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    taken, pairs = set(), []
+    for i, x in enumerate(a):
+        j = next((j for j in range(len(b)) if abs(i - j) <= reach and j not in taken and b[j] == x), None)
+        if j is not None:
+            taken.add(j)
+            pairs.append(i)
+    m = len(pairs)
+    if not m:
+        return 0.0
+    out_of_place = sum(a[i] != b[j] for i, j in zip(pairs, sorted(taken), strict=True)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - out_of_place) / m) / 3
+    start = next((k for k in range(min(4, len(a), len(b))) if a[k] != b[k]), min(4, len(a), len(b)))
+    return jaro + (start * 0.1 * (1 - jaro) if jaro > 0.7 else 0)
+
+
+def plain_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    both = " ".join(sorted(x & y))
+    sides = [" ".join(sorted(x & y) + sorted(s - (x & y))) for s in (x, y)]
+    return max(plain_ratio(*sides), *(plain_ratio(both, s) if both else 0 for s in sides))
+
+
+def plain_partial(a, b):
+    if not a or not b:
+        return 100.0 if a == b else 0.0
+    best = 0.0
+    for short, long in [(a, b)] * (len(a) <= len(b)) + [(b, a)] * (len(b) <= len(a)):
+        n = len(short)
+        windows = {long[max(0, k) : k + n] for k in range(1 - n, len(long))}
+        best = max(best, *(plain_ratio(short, w) for w in windows))
+    return best
+
+
+def test_fuzzy_features_equal_plain_ones(spark):
+    r = random.Random(3)
+    made = lambda: " ".join("".join(r.choice("abcé1") for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(0, 5)))
+    rows = []
+    for _ in range(300):
+        texts = [made() for _ in range(6)]
+        for k in (0, 2, 4):
+            if r.random() < 0.5:
+                texts[k + 1] = " ".join(r.sample(texts[k].split(), len(texts[k].split()))) if r.random() < 0.3 else texts[k][: r.randrange(9)].strip() + " " + made()
+        rows.append(tuple(t.strip() for t in texts))
+    rows += [("",) * 6, ("a", "", "a", "", "a", ""), ("a a", "a", "a a", "a", "a a", "a")]
+    df = spark.createDataFrame(rows, "n1 string, n2 string, a1 string, a2 string, l1 string, l2 string")
+    got = df.select("*", similarity.fuzzy_features("n1", "n2", "a1", "a2", "l1", "l2").alias("f")).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        want = [
+            plain_ratio(" ".join(sorted(x.n1.split())), " ".join(sorted(x.n2.split()))),
+            plain_set(x.n1, x.n2),
+            100 * (1.0 if x.n1 == x.n2 else plain_jaro_winkler(x.n1, x.n2)),
+            plain_set(x.a1, x.a2),
+            plain_partial(x.a1, x.a2),
+            plain_ratio(x.l1, x.l2) if x.l1 and x.l2 else 0.0,
+        ]
+        assert [round(v, 9) for v in x.f] == [round(v, 9) for v in want], x
+
+
+def test_the_last_row_of_a_record_counts(spark):
+    rows = [("S1-1", "S2-1, S3-2", 1), ("S1-2", "S2-5", 2), ("S1-1", "S3-9,S3-9", 3), ("S1-2", " ", 4), ("S1-3", None, 5)]
+    df = spark.createDataFrame(rows, "source1_entity_id string, matched_entity_ids string, line int").coalesce(1)
+    for order in ("line", None):
+        assert [tuple(r) for r in truth.truth_pairs(df, order=order).collect()] == [("S1-1", "S3-9")]
+    first = truth.truth_pairs(df.withColumn("line", -F.col("line")), order="line")
+    assert sorted(map(tuple, first.collect())) == [("S1-1", "S2-1"), ("S1-1", "S3-2"), ("S1-2", "S2-5")]
