@@ -119,7 +119,7 @@ def features_builtin(spark, sf_dir):
 
 
 def features_jaro_winkler(spark, sf_dir):
-    made = features.engineer_features(attach_attributes(spark, sf_dir).where("name_1 <> '' and name_2 <> ''"))
+    made = features.engineer_features(attach_attributes(spark, sf_dir))
     return made.select(S, C, F.round(F.col("name_jaro_winkler").cast("double"), 3).alias("name_jaro_winkler"))
 
 
@@ -354,7 +354,7 @@ ORACLES = {
             CAST(coalesce(a.key_exact_addr = b.key_exact_addr, false) AS DOUBLE) AS exact_address_key_match,
             CAST(coalesce(a.key_legal_name = b.key_legal_name, false) AS DOUBLE) AS legal_name_key_match {_KEYS_12})
         SELECT *, exact_name_key_match + word_digit_key_match + exact_address_key_match + legal_name_key_match AS blocking_key_match_count FROM f""",
-    "features_jaro_winkler": f"WITH {_TOP5} SELECT t.s AS source1_entity_id, t.v AS candidate_entity_id, round(CAST(CAST(100 * jaro_winkler_similarity(a.normalized_name, b.normalized_name) AS FLOAT) AS DOUBLE), 3) AS name_jaro_winkler {_KEYS_12} WHERE a.normalized_name <> '' AND b.normalized_name <> ''",
+    "features_jaro_winkler": f"WITH {_TOP5} SELECT t.s AS source1_entity_id, t.v AS candidate_entity_id, round(CAST(CAST(CASE WHEN '' NOT IN (a.normalized_name, b.normalized_name) THEN 100 * jaro_winkler_similarity(a.normalized_name, b.normalized_name) WHEN a.normalized_name = b.normalized_name THEN 100 ELSE 0 END AS FLOAT) AS DOUBLE), 3) AS name_jaro_winkler {_KEYS_12}",
     "threshold_filter": f"WITH {_TOP5} SELECT s AS source1_entity_id, v AS candidate_entity_id FROM top WHERE {_P} >= {THRESHOLD}",
     "acceptance_mask": f"WITH {_TOP5}, p AS (SELECT s, v, {_P} AS p FROM top), q AS (SELECT *, max(p) OVER (PARTITION BY s) AS best FROM p) SELECT s AS source1_entity_id, v AS candidate_entity_id FROM q WHERE p >= {THRESHOLD} AND p >= CAST({FLOOR} AS DOUBLE) * best",
     "relative_max": f"WITH {_TOP5} SELECT s AS source1_entity_id, CAST(max({_P}) AS DOUBLE) AS best, count(*) AS n FROM top GROUP BY s",
