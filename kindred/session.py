@@ -54,6 +54,24 @@ def _forget(spark: SparkSession, path: str) -> None:
         delete(spark, path)
 
 
+#: While tables are written, a Python worker gets at most so many bytes at once, however long the rows.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """The session with a bound on the bytes of an Arrow batch, as it was afterwards."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a frame as Parquet in the shared folder and read it again: its lineage ends there, and no executor holds it.
 
@@ -66,7 +84,8 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
         spark.sparkContext._kindred_tables = folder
         atexit.register(_forget, spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._kindred_path = path
     return table
