@@ -11,29 +11,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.webp import MAX_SIDE, Tools, encode_image, file_of, images_of
+from kindred.llm.webp import MAX_SIDE, Tools, encode_image, file_of, images_of, predictions, uncrossed
 
 SIDE = 16
 ROW = 4 * SIDE
+#: Predictors that the encoder tries in each block: left, above, above left, and the mean of the last two.
+TRIED = (1, 2, 4, 8)
+BLOCK_BITS = 4
+#: A channel that goes less with green than this isn't freed of it.
+MIN_CORRELATION = 0.05
+
+
+def _bits(samples: np.ndarray) -> float:
+    """What prefix codes of all samples take at least."""
+    counts = np.bincount(samples.ravel(), minlength=256)
+    counts = counts[counts > 0]
+    return samples.size * np.log2(samples.size) - float((counts * np.log2(counts)).sum())
+
+
+def chosen_tools(pixels: np.ndarray) -> Tools:
+    """What makes an image small, from its pixels alone.
+
+    Few colours make a palette, and colours that mostly repeat make copies and a colour cache worth
+    their time. Else a predictor is picked for each block, green taken from red and blue, and red and
+    blue by a share of green, each kept only if the samples then take fewer bits.
+    """
+    colours = len(set(np.ascontiguousarray(pixels).view(np.uint32).ravel().tolist()))
+    if pixels.shape[0] * SIDE >= 8 * colours:
+        return Tools(palette=colours <= 256, copies=True, cache_bits=6 if colours > 256 else 0)
+    least, tools = _bits(pixels), Tools(block_bits=BLOCK_BITS)
+    own = pixels
+    if _smooth(pixels, least):
+        residue, modes = _predicted_by_block(pixels)
+        if (bits := _bits(residue) + 64 + 2 * len(modes)) < least:
+            least, own, tools.modes = bits, residue, modes
+    if tools.modes is None:
+        green = pixels[..., 1:2] * np.array([1, 0, 1, 0], np.uint8)
+        if (bits := _bits(pixels - green) + 3) < least:
+            least, own, tools.subtract_green = bits, pixels - green, True
+    factors = _shares_of_green(own)
+    if any(factors) and _bits(uncrossed(own.astype(np.int64), factors, BLOCK_BITS)) + 64 < least:
+        tools.factors = factors
+    return tools
+
+
+def _smooth(pixels: np.ndarray, least: float) -> bool:
+    """Whether plain differences to the left or above take fewer bits than the samples, so that it's worth trying predictors."""
+    gaps = [g for g in (pixels[1:] - pixels[:-1], pixels[:, 1:] - pixels[:, :-1]) if g.size]
+    return any(_bits(g) * pixels.size < least * g.size for g in gaps)
+
+
+def _predicted_by_block(pixels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the predictor with the smallest residue in each block leaves, and these predictors."""
+    own, each = pixels.astype(np.int64), 1 << BLOCK_BITS
+    blocks = -(-len(own) // each)
+    left = [(own - predictions(own, np.full((blocks, 1), mode), BLOCK_BITS)) & 255 for mode in TRIED]
+    gaps = [np.add.reduceat(np.minimum(x, 256 - x).sum(axis=(1, 2)), np.arange(0, len(own), each)) for x in left]
+    best = np.argmin(gaps, axis=0)
+    residue = np.choose(np.repeat(best, each)[: len(own), None, None], left)
+    return residue.astype(np.uint8), np.array(TRIED)[best][:, None]
+
+
+def _shares_of_green(samples: np.ndarray) -> tuple[int, int, int]:
+    """Factors of the cross-colour transform (red to blue, green to blue, green to red), by least squares; 0 where green tells little."""
+    red, green, blue = (np.ascontiguousarray(samples[..., k]).view(np.int8).ravel().astype(np.float32) for k in range(3))
+    square = float(green @ green)
+    share = lambda c: float(green @ c) / square if square and float(green @ c) ** 2 > MIN_CORRELATION * square * float(c @ c) else 0.0
+    if abs(float(green.mean())) > float(green.std()):
+        return 0, 0, 0
+    return 0, *(int(np.clip(round(32 * share(c)), -128, 127)) for c in (blue, red))
 
 
 def to_media(payload: bytes) -> bytes:
     """A payload, filled with 0 to a positive multiple of 64 bytes, as WebP files of 16 pixels a row, one after the other.
 
     A file has at most 16384 rows, a MiB. The bytes are red, green, blue and alpha in turn. What the
-    encoder uses follows from the pixels alone: few colours make a palette, colours that mostly repeat
-    make copies and a colour cache worth their time, and all else is prefix-coded.
+    encoder uses follows from the pixels alone.
     """
     size = max(ROW, -(-len(payload) // ROW) * ROW)
     pixels = np.frombuffer(payload.ljust(size, b"\0"), np.uint8).reshape(-1, SIDE, 4)
-    files = []
-    for low in range(0, len(pixels), MAX_SIDE):
-        part = pixels[low : low + MAX_SIDE]
-        colours = len(set(np.ascontiguousarray(part).view(np.uint32).ravel().tolist()))
-        often = part.shape[0] * SIDE / colours
-        tools = Tools(palette=colours <= 256 and often >= 8, copies=often >= 8, cache_bits=6 if colours > 256 and often >= 8 else 0)
-        files.append(file_of(encode_image(part, tools)))
-    return b"".join(files)
+    parts = (pixels[low : low + MAX_SIDE] for low in range(0, len(pixels), MAX_SIDE))
+    return b"".join(file_of(encode_image(part, chosen_tools(part))) for part in parts)
 
 
 def feature_of(images: list[np.ndarray]) -> str:

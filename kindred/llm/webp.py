@@ -368,7 +368,7 @@ def _unpredict(pixels: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _predictions(pixels: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
+def predictions(pixels: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     """The same for all pixels of a known image."""
     height, width, _ = pixels.shape
     out = np.zeros_like(pixels)
@@ -403,6 +403,16 @@ def _cross(pixels: np.ndarray, elements: np.ndarray, bits: int, sign: int) -> np
     return out
 
 
+def uncrossed(pixels: np.ndarray, factors: tuple[int, int, int], bits: int) -> np.ndarray:
+    """What is left of an image when red and blue are freed by one set of factors (red to blue, green to blue, green to red)."""
+    return _cross(pixels, _elements(factors, pixels.shape, bits), bits, -1)
+
+
+def _elements(factors: tuple[int, int, int], shape: tuple, bits: int) -> np.ndarray:
+    red_to_blue, green_to_blue, green_to_red = (f & 255 for f in factors)
+    return np.full((_blocks(shape[0], bits), _blocks(shape[1], bits)), 255 << 24 | red_to_blue << 16 | green_to_blue << 8 | green_to_red, np.int64)
+
+
 def _bundle_bits(colours: int) -> int:
     return 3 if colours <= 2 else 2 if colours <= 4 else 1 if colours <= 16 else 0
 
@@ -464,10 +474,10 @@ def images_of(data: bytes):
     while at < len(data):
         if data[at : at + 4] != b"RIFF" or data[at + 8 : at + 12] != b"WEBP":
             raise WebpError("not a WebP file")
-        stop = at + 8 + struct.unpack_from("<I", data, at + 4)[0]
+        stop = at + 8 + int.from_bytes(data[at + 4 : at + 8], "little")
         chunk, found = at + 12, None
-        while chunk + 8 <= stop:
-            name, size = data[chunk : chunk + 4], struct.unpack_from("<I", data, chunk + 4)[0]
+        while chunk + 8 <= min(stop, len(data)):
+            name, size = data[chunk : chunk + 4], int.from_bytes(data[chunk + 4 : chunk + 8], "little")
             if name == b"VP8L":
                 found = data[chunk + 8 : chunk + 8 + size]
                 if len(found) < size:
@@ -475,7 +485,10 @@ def images_of(data: bytes):
             chunk += 8 + size + (size & 1)
         if found is None:
             raise WebpError("no lossless image in the file")
-        yield decode_image(found)
+        try:
+            yield decode_image(found)
+        except (IndexError, ValueError, struct.error) as e:
+            raise e if isinstance(e, WebpError) else WebpError("the image is broken") from e
         at = stop + (stop & 1)
 
 
@@ -743,10 +756,9 @@ def encode_image(pixels: np.ndarray, tools: Tools = Tools()) -> bytes:
         modes = np.broadcast_to(np.asarray(tools.modes, np.int64), shape)
         out.put(1 | PREDICTOR << 1 | (tools.block_bits - 2) << 3, 6)
         _put_image(out, modes << 8 | 255 << 24, False, plain)
-        own = (own - _predictions(own, modes, tools.block_bits)) & 255
+        own = (own - predictions(own, modes, tools.block_bits)) & 255
     if tools.factors is not None:
-        red_to_blue, green_to_blue, green_to_red = (f & 255 for f in tools.factors)
-        elements = np.full(shape, 255 << 24 | red_to_blue << 16 | green_to_blue << 8 | green_to_red, np.int64)
+        elements = _elements(tools.factors, own.shape, tools.block_bits)
         out.put(1 | CROSS_COLOUR << 1 | (tools.block_bits - 2) << 3, 6)
         _put_image(out, elements, False, plain)
         own = _cross(own, elements, tools.block_bits, -1)
