@@ -15,7 +15,8 @@ APART_CLASS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 END = "\x00"
 NO_ID = -(2**63)
-MAX_BROADCAST = 2_000_000
+#: So many rows, and bytes of words in them, at most are broadcast.
+MAX_BROADCAST, MAX_BYTES = 2_000_000, 64 << 20
 KEYS = ["doc", "copy"]
 
 
@@ -27,9 +28,11 @@ def words_of(text: Column) -> Column:
     return F.when(inner != "", F.split(inner, APART_CLASS)).otherwise(F.array().cast("array<string>"))
 
 
-def bounded(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
-    """A frame marked for broadcast if it has at most so many rows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def bounded(df: DataFrame) -> DataFrame:
+    """A frame of numbers and words marked for broadcast if it is at most so large; else as it is, for a shuffled join."""
+    words = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    size = df.limit(MAX_BROADCAST + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(sum(words, F.lit(0)).cast("long")), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size.rows <= MAX_BROADCAST and size.bytes <= MAX_BYTES else df
 
 
 @dataclass
