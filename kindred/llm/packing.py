@@ -17,6 +17,7 @@ from kindred.session import settle
 
 END_ID = 1
 CACHED = 200_000
+SPECIAL = "<|"
 SIMPLE = re.compile(r"[!-&(-~ß-öø-ÿ]+")
 PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 UNUSUAL_SPACE = re.compile("[\x1c-\x1f]")
@@ -27,14 +28,15 @@ MAX_PLAN_ROWS = 400_000
 class Capacities:
     """What a sequence holds at most; the weight of each kind where bins are compared.
 
-    Attention cost of a piece: the square of its tokens. Without limits of their own, documents and
-    attention are bound by the tokens alone.
+    Attention cost of a piece: the square of its tokens. Without limits of their own, as many documents
+    as tokens and all attention within them are allowed; what is left of them still counts where bins
+    are compared.
     """
 
     tokens: int = 4096
     documents: int | None = None
     attention: int | None = None
-    weights: tuple[float, float, float] = (1.0, 0.001, 0.001)
+    weights: tuple[float, float, float] = (1.0, 0.25, 0.25)
     rule: str = "norm"
 
     def vector(self) -> np.ndarray:
@@ -69,7 +71,7 @@ class _Chunks(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         lowered = chunk.lower()
-        if SIMPLE.fullmatch(lowered):
+        if SIMPLE.fullmatch(lowered) and SPECIAL not in chunk:
             ids = b"".join([self.parts[p] for p in PARTS.findall(lowered)])
         else:
             ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -80,22 +82,15 @@ class _Chunks(dict):
         return ids
 
 
-_CHUNKS: dict[str, _Chunks] = {}
-
-
 def encoder(path: str | None):
-    """A function from a text to its ids as little-endian 32-bit bytes; one for each process and vocabulary."""
+    """A function from a text to its ids as little-endian 32-bit bytes. Its tables, of bounded size, end with it."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    if path not in _CHUNKS:
-        from tokenizers import Tokenizer
+    from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _CHUNKS[path] = _Chunks(tokenizer)
-    chunks = _CHUNKS[path]
+    chunks = _Chunks(Tokenizer.from_file(path))
 
     def encode(text: str) -> bytes:
         if UNUSUAL_SPACE.search(text):
@@ -110,7 +105,8 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, vocabulary: str | None =
 
     A document is the ids of its text, then one end id, so a null or empty text is a piece of one id.
     Only documents longer than a piece are cut. The whole text is encoded, chunk by chunk between
-    white space, which gives the same ids as the vocabulary's own encoder on the whole.
+    white space, which gives the same ids as the vocabulary's own encoder on the whole, also of texts
+    that spell the vocabulary's special tokens. Nothing bounds a text's length; its ids are held at once.
     """
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
 
@@ -196,27 +192,30 @@ def pack(pieces: DataFrame, caps: Capacities, order: list[str], salts: int = 64)
 
     The driver gets the number of pieces of each length, at most as many rows as a sequence has
     tokens, and plans whole bins from it. The pieces themselves are numbered within their length, in
-    `order`, and find their bin by that number. `pieces` must give the same rows each time.
+    `order`, and find their bin by that number. `pieces` must give the same rows each time. Columns of
+    the input with the names of added or inner ones (sequence_id, offset, _at_*, _rank, _part) are replaced.
     """
+    inner = ("sequence_id", "offset", "_at_length", "_at_rank", "_at_count", "_at_bin", "_at_offset", "_rank", "_part")
+    pieces = pieces.select([c for c in pieces.columns if c not in inner])
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows, _ = best_fit_plan(counts, caps)
-    spark = pieces.sparkSession
-    plan = spark.createDataFrame(rows, "at_length long, at_rank long, at_count long, at_bin long, offset long")
+    plan = pieces.sparkSession.createDataFrame(rows, "_at_length long, _at_rank long, _at_count long, _at_bin long, _at_offset long")
     ranked = gapless(pieces, ["length"], order, "_rank", salts)
+    within = (F.col("length") == F.col("_at_length")) & F.col("_rank").between(F.col("_at_rank"), F.col("_at_rank") + F.col("_at_count") - 1)
     if len(rows) <= MAX_PLAN_ROWS:
-        joined = ranked.join(F.broadcast(plan), (F.col("length") == F.col("at_length")) & F.col("_rank").between(F.col("at_rank"), F.col("at_rank") + F.col("at_count") - 1))
+        joined = ranked.join(F.broadcast(plan), within)
     else:
         spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_part")
-        joined = ranked.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")).join(
-            plan.select("*", spread), ["_part"]
-        ).where((F.col("length") == F.col("at_length")) & F.col("_rank").between(F.col("at_rank"), F.col("at_rank") + F.col("at_count") - 1))
-    return joined.select(*pieces.columns, (F.col("at_bin") + F.col("_rank") - F.col("at_rank")).alias("sequence_id"), "offset")
+        joined = ranked.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")).join(plan.select("*", spread), ["_part"]).where(within)
+    return joined.select(*pieces.columns, (F.col("_at_bin") + F.col("_rank") - F.col("_at_rank")).alias("sequence_id"), F.col("_at_offset").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, caps: Capacities = Capacities(), vocabulary: str | None = None, keep_ids: bool = False, salts: int = 64) -> DataFrame:
     """Pieces of all documents with their places: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
-    Rows that repeat are packed each. Other columns are ignored. An empty table has no rows.
+    Rows that repeat are packed each. Pieces of one length are interchangeable and are dealt by doc_id,
+    piece and ids_crc32; null ids are packed as well. Other columns are ignored. An empty table has no
+    rows. A piece that no sequence can hold under `caps` raises ValueError.
     """
     pieces = settle(token_pieces(docs, caps.tokens, vocabulary, keep_ids), "pieces")
     return pack(pieces, caps, ["doc_id", "piece", "ids_crc32"], salts)
