@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_sample(docs: DataFrame, ids: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of docs whose doc_id is in the bounded table ids, with the given columns of both, in one partition in the order of a hash of doc_id."""
+def one_row_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of docs (doc_id, text and others) for each doc_id of the bounded table ids, with the columns of both; of rows that share an id, the first by text."""
     rows = docs.join(F.broadcast(ids), "doc_id")
-    return rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", *columns).select(columns)
+    rest = [c for c in rows.columns if c != "doc_id"]
+    return rows.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("row")).select("doc_id", *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> bytes | None:
-    """The pickled result of `fit` on the sample's rows; None without rows. The driver never holds the sample."""
+    """The pickled result of `fit` on the sample's rows, in the order of a hash of their texts; None without rows. The driver never holds the sample."""
     names = sample.columns
+    sample = sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [b for b in batches if b.num_rows]

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.fitting import bounded_sample, fit_in_task
+from kindred.llm.fitting import fit_in_task, one_row_each
 from kindred.llm.text import CHUNK_BYTES, NO_LETTER, Counter64, Remembered, Spelled, buffers, chunks, words
 from kindred.session import settle
 
@@ -148,9 +148,10 @@ def predict_language(docs: DataFrame, train: Column, max_train_rows: int = 12_00
     """Predict the language of every whole text, learning from `lang` of the rows where `train` holds.
 
     docs: doc_id, text, lang and any others, which are ignored. Returns doc_id, lang_pred and score, a
-    row for each row of the input. The classifier is fitted on the rows of at most `max_train_rows`
-    ids that have a lang and a text: all ids of small languages and equally many of the others, those
-    first by a hash of doc_id. How frequent the languages are is counted over all rows. Nothing else is
+    row for each row of the input; equal texts, also in repeated rows, are predicted alike, and an empty
+    table has no rows. The classifier is fitted on at most `max_train_rows` rows that have a lang and a
+    text: one of each id, all ids of small languages and equally many of the others, those first by a
+    hash of doc_id. Of languages that score the same, the first by name is predicted. How frequent the languages are is counted over all rows. Nothing else is
     bounded: all words and n-grams of the sample are kept. A word is a run of letters (and of all that isn't ASCII), lower-cased. Each word's log frequencies (in how many
     documents it occurs) are added up for each language; score is the share of the best one after dividing by the root of the number of
     words, so that long texts don't all score 1. A text that is null or has no letter is und with a
@@ -164,7 +165,7 @@ def predict_language(docs: DataFrame, train: Column, max_train_rows: int = 12_00
         names = sorted(set(rows["lang"].to_pylist()))
         return learn(rows["text"].combine_chunks(), names, np.array([names.index(x) for x in rows["lang"].to_pylist()], np.int64), np.array([n_rows[x] for x in names]))
 
-    shared = docs.sparkSession.sparkContext.broadcast(fit_in_task(bounded_sample(usable, ids, ["text", "lang"]), fit))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_in_task(one_row_each(usable.select("doc_id", "text", "lang"), ids).select("text", "lang"), fit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pickle.loads(shared.value) if shared.value else None
