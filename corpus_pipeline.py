@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: each stage filters, cleans or packs all that the one before it kept."""
+"""From raw documents to packed training sequences: each stage filters, cleans or packs all that the one before it kept.
+
+All stages take null ids and null, empty and very long texts; repeated rows are rows of their own,
+other columns are kept until packing, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,29 +17,38 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that the class-conditional models call toxic. Labels of a quarter of the ids stay unread."""
+    """Documents without those that the class-conditional models call toxic. Labels of a quarter of the ids stay unread.
+
+    A text without words stays, equal texts go or stay together, and without labels of both classes all stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
     return toxicity.score_toxicity(docs, labels, train).where("predicted = 0").select(docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    """One document, the smallest id, of each group of near copies: five-word shingles, a similarity of 0.8 or more.
+
+    Documents without words or without an id stay, and rows that repeat an id stay or go together.
+    """
     return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that hold ten neighbouring words of a benchmark item, all of one of five to nine, or more than half of whose words stand in shorter ones."""
+    """Documents without those that hold ten neighbouring words of a benchmark item, all of one of five to nine, or more than half of whose words stand in shorter ones.
+
+    Documents without words or without an id stay, and so do all if the benchmark is empty.
+    """
     return positional.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10, short_share=0.5)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with pseudonyms for its personal numbers and dates."""
-    return pseudonyms.pseudonymise(docs).select(docs.columns)
+    """Every document, with pseudonyms for its personal numbers and dates under the key in the session's settings. Null and empty texts stay as they are."""
+    return pseudonyms.pseudonymise(docs, pseudonyms.key_of(spark)).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents in as few sequences of 4096 tokens as best fit finds."""
+    """The kept documents in as few sequences of 4096 tokens as best fit finds. A null or empty text is a piece of its end id; pieces of one length are interchangeable."""
     return packing.pack_documents(docs)
 
 

@@ -12,7 +12,7 @@ from functools import cache
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 ROUNDS = 8
@@ -218,6 +218,16 @@ class Pseudonyms:
         return "".join(reversed(out))
 
 
+#: For queries and tests on made-up data only: whoever reads this can undo its pseudonyms.
+TEST_KEY = "a test key that everyone knows"
+KEY_SETTING = "spark.kindred.pseudonym.key"
+
+
+def key_of(spark: SparkSession) -> str:
+    """The secret key in the session's settings; the test key where none is set."""
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
 KINDS = ("mail", "iban", "day", "address", "social", "phone", "token", "card")
 STOP = r"(?![\w-]|\.[0-9])"
 FORMS = [
@@ -324,7 +334,7 @@ def pseudonymise_text(text: str, using: Pseudonyms) -> tuple[str, list[tuple[int
     return "".join([*out, text[at:]]), spans
 
 
-def pseudonymise(docs: DataFrame, key: str = "kindred", text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Replace personal numbers and dates in a text column, adding spans (start, stop, kind in the new text) and n_replaced.
 
     Kinds: mail (the part before the @), IBAN (of all countries of the registry, in one piece or in
@@ -337,9 +347,15 @@ def pseudonymise(docs: DataFrame, key: str = "kindred", text: str = "text") -> D
     A card is any 13 to 19 digits with Luhn's check digit, so one in ten other numbers of that length,
     or such runs in a row of numbers, passes for one. Left out: dates with the month's name, a year of
     two digits, no separators or blanks in them, and dates that a word, a hyphen or an underscore joins; IBANs with other
-    separators than single blanks. Whole texts are searched; a null text stays null. Other columns are kept, but for columns named
-    like the added ones. Every row stands for itself, so repeats and missing rows don't matter.
+    separators than single blanks. A phone number with its country's code and the same without it, and
+    mail domains, which stay in clear, aren't linked or hidden. Whole texts are searched, however long;
+    a null text stays null, an empty one empty, and an empty table has no rows. Where several readings
+    begin at a place, the kind that stands first in KINDS and then the longest is taken. Other columns
+    are kept, but for columns named like the added ones. Every row stands for itself: equal texts, also
+    in repeated rows, become equal texts.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     kept = [c for c in docs.columns if c not in ("spans", "n_replaced")]
     at = kept.index(text)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string())]))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import jaccard, language, lm, media, packing, positional, pseudonyms, sharding, toxicity, urlfilter
+from kindred.session import settle
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -15,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's bytes as lossless WebP, read back."""
-    return media.read_webp(media.store_as_webp(table(spark, sf_dir, "documents")))
+    """Every document's bytes as lossless WebP, stored in a table and read back from it."""
+    return media.read_webp(settle(media.store_as_webp(table(spark, sf_dir, "documents")), "media"))
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms for its personal numbers and dates."""
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonyms.key_of(spark))
 
 
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,23 +56,27 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def held_out(n: int):
+    """Whether the remainder is 2; a null id isn't held out."""
+    return F.coalesce(remainder(n) == 2, F.lit(False))
+
+
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log10 probability of every document under the interpolated word model."""
-    return lm.interpolated_scores(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return lm.interpolated_scores(table(spark, sf_dir, "documents"), ~held_out(7))
 
 
 def op5_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
-    held_out = (remainder(4) == 2).alias("held_out")
-    return language.predict_language(docs, remainder(4) != 2).select("doc_id", held_out, "lang_pred", "score")
+    return language.predict_language(docs, ~held_out(4)).select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
 
 
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from labels of three quarters of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), remainder(4) != 2)
-    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out(4))
+    return scored.select("doc_id", held_out(4).alias("held_out"), "score", "predicted")
 
 
 QUERIES = {
