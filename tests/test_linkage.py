@@ -374,3 +374,35 @@ def test_the_last_row_of_a_record_counts(spark):
         assert [tuple(r) for r in truth.truth_pairs(df, order=order).collect()] == [("S1-1", "S3-9")]
     first = truth.truth_pairs(df.withColumn("line", -F.col("line")), order="line")
     assert sorted(map(tuple, first.collect())) == [("S1-1", "S2-1"), ("S1-1", "S3-2"), ("S1-2", "S2-5")]
+
+
+def test_pairs_are_made_only_of_classes_that_can_be_among_the_best(spark, entities):
+    # Three vendors agree in all keys, a hundred others in the address alone: with k = 2 or 3 these are counted, but never paired.
+    s = entities([("S1-1", "Oak Inc", "1 A Street"), ("S1-2", "Elm", None)])
+    v = entities([(f"S2-{k}", "OAK inc", "1 A St") for k in range(3)] + [(f"S3-{k}", f"name{k}", "1 A Street") for k in range(100)])
+    sk, vk = blocking.blocking_keys(s, S), blocking.blocking_keys(v, "vendor_entity_id")
+    left, right = blocking._classes(sk, S, 1), blocking._classes(vk, "vendor_entity_id", 5).withColumn("n", F.size("vendor_entity_ids"))
+    for k, tier, above, same, pairs in ((2, 4, 0, 3, 1), (3, 4, 0, 3, 1), (4, 1, 3, 100, 101)):
+        tiers = blocking._tiers(left, right, k)
+        assert [tuple(x)[1:] for x in tiers.collect()] == [(tier, above, same)]
+        assert blocking._pairs_from(tiers, left, right).count() == pairs
+    plain = blocking.deduplicated(blocking.candidate_matches(sk, vk))
+    for k, found in zip((2, 4, 7), blocking.ranked_candidates(s, v, [2, 4, 7], 9), strict=True):
+        assert sorted(found.collect()) == sorted(blocking.top_candidates(plain, sk, vk, k, 9).collect())
+
+
+def test_a_truth_of_groups_is_that_of_its_pairs(spark):
+    r = random.Random(3)
+    # Some records and vendors are in several groups or none, and rows are repeated.
+    s = [(f"S1-{k}", f"g{r.randrange(6)}") for k in range(20) for _ in range(r.choice([0, 1, 1, 2]))] + [("S1-x", None)]
+    v = [(f"S2-{k}", f"g{r.randrange(6)}") for k in range(25) for _ in range(r.choice([0, 1, 1, 3]))] + [("S2-x", None)]
+    groups = truth.Groups(spark.createDataFrame(s, f"{S} string, group string"), spark.createDataFrame(v, f"{C} string, group string"))
+    known = {(a, b) for a, g in s for b, h in v if g is not None and g == h}
+    pairs = spark.createDataFrame(known, f"{S} string, {C} string")
+    scored = spark.createDataFrame([(f"S1-{k}", f"S2-{r.randrange(27)}", r.randrange(101) / 100) for k in range(22) for _ in range(3)], f"{S} string, {C} string, probability double")
+    ids = spark.createDataFrame([(f"S1-{k}",) for k in range(22)], f"{S} string")
+    assert {(x[S], x[C], x.probability): x.label for x in truth.attach_labels(scored, groups).collect()} == {(x[S], x[C], x.probability): int((x[S], x[C]) in known) for x in scored.collect()}
+    assert sorted(truth.true_counts(groups).collect()) == sorted(truth.true_counts(pairs).collect())
+    assert metrics.macro_f05(ids, groups, scored).first() == metrics.macro_f05(ids, pairs, scored).first()
+    assert sorted(selection.threshold_grid(ids, groups, scored).collect()) == sorted(selection.threshold_grid(ids, pairs, scored).collect())
+    assert selection.select_threshold(ids, groups, scored) == selection.select_threshold(ids, pairs, scored)
