@@ -184,3 +184,17 @@ def test_tables_of_the_run_are_below_one_folder_and_can_be_released(spark):
     session.release(table)
     folder = spark._jvm.org.apache.hadoop.fs.Path(table._kindred_path)
     assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def test_equal_samples_are_trained_on_once(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from kindred.plans import linkage
+
+    made = []
+    frame = lambda n: SimpleNamespace(count=lambda: n)
+    choice = SimpleNamespace(threshold=0.5, relative=0.9, selection_score=1.0, heldout_score=1.0)
+    monkeypatch.setattr(linkage, "train", lambda source, vendors, truth, options, size: made.append(size) or SimpleNamespace(ids=frame(min(size, 30)), pairs=frame(7), choice=choice))
+    report = linkage.sensitivity_report(spark.range(30), None, None, None, (20, 30, 40, 50)).collect()
+    assert made == [20, 30]
+    assert [tuple(r)[:3] for r in report] == [(20, 20, 7), (30, 30, 7), (40, 30, 7), (50, 30, 7)]
