@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.text import chunks, mix, words
-from kindred.session import settle
+from kindred.session import release, settle, sweep
 
 BATCH_BYTES = 5 << 20
 #: A unit sends its keys to at most so many others; more are reached over several hops.
 MAX_FAN = 256
+#: The hash space is exchanged in so many parts, one after the other, so that only one part's keys are on disk at a time.
+PASSES = 3
 END, BEGIN = np.uint64(0x27D4EB2F165667C5), np.uint64(0x165667B19E3779F9)
 LEFT, RIGHT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
 #: The lowest bits of a key tell its order.
@@ -118,12 +121,13 @@ def _edges(keys: np.ndarray, prefix: int, fan: int, level: int) -> np.ndarray:
 SENT = "prefix long, unit long, sender long, keys binary, every binary, extra binary"
 
 
-def _sent(prefix: int, unit: int, sender: int, keys: np.ndarray, every: np.ndarray, extra: np.ndarray, fan: int, level: int) -> pa.RecordBatch:
-    """A unit's keys and counts, dealt to the units of the next level: unit tells those of one range apart."""
+def _sent(prefix: int, unit: int, sender: int, keys: np.ndarray, every: np.ndarray, extra: np.ndarray, fan: int, level: int, ranges: range | None = None) -> pa.RecordBatch:
+    """A unit's keys and counts, dealt to the units of the next level, or to those of `ranges`: unit tells those of one range apart."""
     edges = _edges(keys, prefix, fan, level)
-    rows = [(prefix * fan + k, unit, sender, _of_keys(keys[x:y]), _squeeze(every[x:y]), _squeeze(extra[x:y])) for k, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
+    parts = [(k, edges[k], edges[k + 1]) for k in (range(fan) if ranges is None else ranges) if edges[k + 1] > edges[k]]
+    rows = [(prefix * fan + k, unit, sender, _of_keys(keys[x:y]), _squeeze(every[x:y]), _squeeze(extra[x:y])) for k, x, y in parts]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["prefix", "unit", "sender", "keys", "every", "extra"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(types), types, strict=True)], names=["prefix", "unit", "sender", "keys", "every", "extra"])
 
 
 def _units(number: int, units: int) -> int:
@@ -131,8 +135,8 @@ def _units(number: int, units: int) -> int:
     return int(mix(np.array([number], np.int64).view(np.uint64))[0] % np.uint64(units))
 
 
-def _asked(batches: DataFrame, order: int, fan: int, units: int) -> DataFrame:
-    """Each batch's distinct keys and their counts in training text (every) and in that on which weights are learned (extra)."""
+def _asked(batches: DataFrame, order: int, fan: int, units: int, ranges: range | None = None) -> DataFrame:
+    """Each batch's distinct keys, or those in `ranges` of the `fan` parts of the hash space, and their counts in training text (every) and in that on which weights are learned (extra)."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
@@ -142,7 +146,7 @@ def _asked(batches: DataFrame, order: int, fan: int, units: int) -> DataFrame:
                 weights = np.repeat(np.array(train, bool), lengths)
                 keys, places = np.unique(np.concatenate(grams), return_inverse=True)
                 every = np.bincount(places, np.tile(weights, order), len(keys)).astype(np.uint32)
-                yield _sent(0, _units(number, units), number, keys, every, every if extra else np.zeros_like(every), fan, 0)
+                yield _sent(0, _units(number, units), number, keys, every, every if extra else np.zeros_like(every), fan, 0, ranges)
 
     return batches.select("batch", "extra", "train", "sizes", "blob").mapInArrow(run, SENT)
 
@@ -211,13 +215,15 @@ def _passed_back(sent: DataFrame, answers: DataFrame) -> DataFrame:
     return numbered.groupBy("number").cogroup(answers.where("sender >= 0").withColumn("number", F.col("sender")).groupBy("number")).applyInArrow(lambda x, y: run(x.drop_columns(["number"]), y.drop_columns(["number"])), ANSWER)
 
 
-def _exchanged(batches: DataFrame, order: int) -> DataFrame:
+def _exchanged(batches: DataFrame, order: int, part: int = 0, passes: int = 1, spent: list[DataFrame] | None = None) -> DataFrame | None:
     """The counts of every batch's keys over all batches.
 
     With up to MAX_FAN batches, each sends a part of its keys to as many units as there are batches.
     With more, units pass on the sums of a few senders each, over as many hops as it takes, and answer
     them on the way back. So what is sent is at most MAX_FAN rows for each batch and hop, and what a
-    unit holds is about what a batch holds, at any number of batches.
+    unit holds is about what a batch holds, at any number of batches. With several passes, only the
+    keys in one part of the hash space; nothing where there are more passes than parts. spent, if
+    given, gets the tables that nothing needs afterwards.
     """
     n = max(1, batches.count())
     hops = 1
@@ -225,15 +231,24 @@ def _exchanged(batches: DataFrame, order: int) -> DataFrame:
         hops += 1
     fan = next(f for f in range(max(1, int(n ** (1 / hops)) - 1), n + 2) if f**hops >= n)
     units = [-(-n // fan ** (k + 1)) for k in range(hops)]
-    sent = [_asked(batches, order, fan, units[0])]
+    ranges = range(part * fan // passes, (part + 1) * fan // passes)
+    if not ranges:
+        return None
+    sent = [_asked(batches, order, fan, units[0], ranges)]
     for k in range(1, hops):
         sent[-1] = settle(sent[-1], "sent")
         sent.append(_passed_on(sent[-1], fan, k, units[k]))
+    done = sent[:-1]
     answers = settle(_answered(sent.pop()), "counts")
-    known = answers.where("sender = -1")
+    if hops == 1:
+        return answers
+    known = settle(answers.where("sender = -1"), "known")
     while sent:
+        done.append(answers)
         answers = settle(_passed_back(sent.pop(), answers), "counts")
-    return answers.where("sender >= 0").unionByName(known) if hops > 1 else answers
+    if spent is not None:
+        spent.extend(done)
+    return answers.where("sender >= 0").unionByName(known)
 
 
 @dataclass
@@ -357,7 +372,8 @@ def interpolated_scores(docs: DataFrame, train: Column, order: int = 3, extra_sh
     how often the context occurs. Counts are of all training text: each batch of documents sends its
     distinct runs of words, with counts, to units that each have a range of their hashes, and gets the
     sums back, so no task holds more than a batch or a unit, and a frequent word is one key in each
-    batch. One training document in `extra_share`, by a hash of its id, is the held-out text: counts
+    batch. The hash space goes in PASSES parts, one after the other: batches are cut into words anew
+    for each, and what was sent for one is deleted before the next. One training document in `extra_share`, by a hash of its id, is the held-out text: counts
     without these give the estimates on which expectation-maximisation learns the shares; the scores
     then use the counts of all training text. Held-out tokens reach the driver as a histogram of
     bounded size, one for each order. A batch of 5 MB of text is what a task holds; a longer text is a
@@ -368,7 +384,14 @@ def interpolated_scores(docs: DataFrame, train: Column, order: int = 3, extra_sh
     train = F.coalesce(train, F.lit(True))
     extra = train & (F.pmod(F.xxhash64("doc_id", F.lit("held-out counts")), F.lit(extra_share)) == 0)
     batches = settle(_batches(docs, train, extra), "batches")
-    answers = _exchanged(batches, order)
+    parts = []
+    for part in range(PASSES):
+        spent: list[DataFrame] = []
+        parts.append(_exchanged(batches, order, part, PASSES, spent))
+        release(*spent)
+        spent.clear()
+        sweep(batches.sparkSession)
+    answers = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
     known = answers.where("sender = -1").agg(F.sum("total").alias("total"), F.sum("types").alias("types"), F.sum("total_extra").alias("extra")).first()
     total, types, kept = known.total or 0, known.types or 0, (known.total or 0) - (known.extra or 0)
     found, weights = answers.where("sender >= 0"), np.zeros((0, BUCKETS))

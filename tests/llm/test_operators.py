@@ -511,3 +511,22 @@ def test_held_out_labels_are_never_read(corpus):
     turned = labels.withColumn("toxic", F.when(train, F.col("toxic")).otherwise(1 - F.col("toxic")))
     a, b = ({r.doc_id: r.score for r in toxicity.score_toxicity(corpus, x, train).collect()} for x in (labels, turned))
     assert a == b
+
+
+def test_the_hash_space_is_exchanged_in_parts(spark, monkeypatch):
+    r = random.Random(11)
+    docs = spark.createDataFrame([(k, " ".join(r.choice(["oak", "elm", "ash", "yew", "fir"]) for _ in range(r.randrange(40)))) for k in range(200)], "doc_id long, text string")
+    train = F.col("doc_id") % 7 != 2
+    sent, found = [], {}
+    asked = lm._asked
+    for passes, fan in ((1, 256), (3, 256), (3, 2)):
+        monkeypatch.setattr(lm, "BATCH_BYTES", 1000)
+        monkeypatch.setattr(lm, "PASSES", passes)
+        monkeypatch.setattr(lm, "MAX_FAN", fan)
+        parts = []
+        monkeypatch.setattr(lm, "_asked", lambda *a: (parts.append(a[4]), asked(*a))[1])
+        found[passes, fan] = sorted(lm.interpolated_scores(docs, train, 3).collect())
+        sent.append(parts)
+    assert len(sent[0]) == 1 and len(sent[1]) == 3 and len(sent[2]) == 2
+    assert [k for p in sent[1] for k in p] == list(sent[0][0])  # each part of the hash space once
+    assert found[1, 256] == found[3, 256] == found[3, 2]
