@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,54 @@ def jaro_winkler(a, b) -> float:
     return score
 
 
+@lru_cache(4096)
+def _windows(i: int, most: int) -> np.ndarray:
+    """For each reach up to `most`, the bits of the places that the i-th element of a text may match."""
+    return np.array([((1 << min(64, i + r + 1)) - 1) & ~((1 << min(64, max(0, i - r))) - 1) for r in range(most + 1)], dtype=np.uint64)
+
+
+class Many:
+    """Texts in bytes to compare with one text at a time: where each byte value stands is a word of bits. Longer texts than its 64 are compared one by one."""
+
+    def __init__(self, texts: list[bytes]):
+        self.texts, n = texts, len(texts)
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.long = np.flatnonzero(self.lengths > 64)
+        self.codes = np.frombuffer(b"".join(t[:64].ljust(64, b"\0") for t in texts), dtype=np.uint8).reshape(n, 64)
+        self.held = np.arange(64) < self.lengths[:, None]
+        self.places = {int(x): np.packbits((self.codes == x) & self.held, axis=1, bitorder="little").view("<u8").ravel() for x in np.unique(self.codes[self.held])}
+
+    def jaro_winkler(self, a: bytes) -> np.ndarray:
+        """The same doubles as `jaro_winkler` of `a` and each text."""
+        if not a:
+            return np.zeros(len(self.texts))
+        lengths = np.minimum(self.lengths, 64)
+        reach = np.maximum(np.maximum(lengths, len(a)) // 2 - 1, 0)
+        used, hits = np.zeros(len(self.texts), dtype=np.uint64), []
+        for i, x in enumerate(a):
+            if x not in self.places:
+                continue
+            met = self.places[x] & _windows(i, max(64, len(a)) // 2)[reach] & ~used
+            low = met & (~met + np.uint64(1))
+            used |= low
+            hits.append((x, low != 0))
+        m, swaps = np.bitwise_count(used).astype(np.int64), np.zeros(len(self.texts), dtype=np.int64)
+        for x, hit in hits:
+            low = np.where(hit, used & (~used + np.uint64(1)), np.uint64(0))
+            swaps += hit & (self.places[x] & low == 0)
+            used ^= low
+        swaps //= 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = (m / len(a) + m / lengths + (m - swaps) / m) / 3
+        score[m == 0] = 0.0
+        first = np.frombuffer(a[:4], dtype=np.uint8)
+        start = np.cumprod((self.codes[:, : len(first)] == first) & self.held[:, : len(first)], axis=1).sum(axis=1)
+        score = np.where(score > 0.7, score + 0.1 * start * (1 - score), score)
+        for k in self.long:
+            score[k] = jaro_winkler(a, self.texts[k])
+        return score
+
+
 def common_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bit-parallel rows (Hyyro, 2004)."""
     if not a or not b:

@@ -406,3 +406,29 @@ def test_a_truth_of_groups_is_that_of_its_pairs(spark):
     assert metrics.macro_f05(ids, groups, scored).first() == metrics.macro_f05(ids, pairs, scored).first()
     assert sorted(selection.threshold_grid(ids, groups, scored).collect()) == sorted(selection.threshold_grid(ids, pairs, scored).collect())
     assert selection.select_threshold(ids, groups, scored) == selection.select_threshold(ids, pairs, scored)
+
+
+def test_many_texts_are_compared_as_one_by_one():
+    r = random.Random(8)
+    texts = ["".join(r.choice("ab c0é") for _ in range(r.choice([0, 1, 3, 9, 20, 40, 64, 70]))).encode() for _ in range(150)]
+    many = similarity.Many(texts)
+    for a in texts[:60]:
+        assert many.jaro_winkler(a).tolist() == [similarity.jaro_winkler(a, b) for b in texts]
+
+
+def test_keys_with_many_pairs_are_ranked_in_blocks(spark, entities, monkeypatch):
+    # One name on either side: its pairs are ranked in blocks, of which each gives the best k of a record at most.
+    r = random.Random(4)
+    streets = [None, "", *(f"{n} {x}" for n in (1, 2, 12) for x in ("A Street", "A St", "B Road", "Bé Road", "C"))]
+    make = lambda p, n: entities([(f"{p}-{k}", r.choice(["Oak", "Oak", "Oak Inc", "Elm"]), f"{r.choice(streets)} {r.randrange(40)}") for k in range(n)])
+    s, v = make("S1", 40), make("S2", 90)
+    for name, value in (("HOT_PAIRS", 200), ("SOURCE_BLOCK", 20), ("VENDOR_BLOCK", 40)):
+        monkeypatch.setattr(blocking, name, value)
+    sk, vk = blocking.blocking_keys(s, S), blocking.blocking_keys(v, "vendor_entity_id")
+    plain = blocking.deduplicated(blocking.candidate_matches(sk, vk))
+    blocks, made = [], blocking._best_in_blocks
+    monkeypatch.setattr(blocking, "_best_in_blocks", lambda *args: blocks.append(made(*args)) or blocks[-1])
+    for k, digits in ((4, 9), (20, None)):
+        assert sorted(blocking.candidate_pairs(s, v, k, digits).collect()) == sorted(blocking.top_candidates(plain, sk, vk, k, digits).collect())
+    assert blocks and blocks[0].where("similarity_score is not null").count() > 0
+    assert blocks[0].where("similarity_score is not null").count() <= 40 * 3 * 4
