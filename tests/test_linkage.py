@@ -431,4 +431,16 @@ def test_keys_with_many_pairs_are_ranked_in_blocks(spark, entities, monkeypatch)
     for k, digits in ((4, 9), (20, None)):
         assert sorted(blocking.candidate_pairs(s, v, k, digits).collect()) == sorted(blocking.top_candidates(plain, sk, vk, k, digits).collect())
     assert blocks and blocks[0].where("similarity_score is not null").count() > 0
-    assert blocks[0].where("similarity_score is not null").count() <= 40 * 3 * 4
+    assert blocks[0].where("similarity_score is not null").count() < plain.count()
+
+
+def test_equal_texts_are_compared_once(spark, monkeypatch):
+    rows = [(f"S1-{k}", f"S2-{k}", *x) for k in range(50) for x in (("Oak Inc 7", "OAK", "1 A Street", None), ("Oak Inc 7", "OAK", "1 A Street", ""), (None, "Elm", "2 B", "2 B Road"))]
+    pairs, seen = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in features.PAIR_COLUMNS)), []
+    plain = features.normalized_pairs
+    monkeypatch.setattr(features, "normalized_pairs", lambda texts: seen.append(texts) or plain(texts))
+    made, builtin = features.engineer_features(pairs).collect(), features.add_builtin_features(pairs)
+    assert [x.count() for x in seen] == [3, 3] and len(made) == 150
+    expected = features.builtin_features(plain(pairs)).select(builtin.columns)
+    assert sorted(map(str, builtin.collect())) == sorted(map(str, expected.collect()))
+    assert {(r.name_2, r.address_2, r.name_length_diff, r.address_length_diff) for r in made} == {("OAK", None, 6.0, 6.0), ("OAK", "", 6.0, 6.0), ("Elm", "2 B Road", 3.0, 3.0)}
