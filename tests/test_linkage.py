@@ -444,3 +444,13 @@ def test_equal_texts_are_compared_once(spark, monkeypatch):
     expected = features.builtin_features(plain(pairs)).select(builtin.columns)
     assert sorted(map(str, builtin.collect())) == sorted(map(str, expected.collect()))
     assert {(r.name_2, r.address_2, r.name_length_diff, r.address_length_diff) for r in made} == {("OAK", None, 6.0, 6.0), ("OAK", "", 6.0, 6.0), ("Elm", "2 B Road", 3.0, 3.0)}
+
+
+def test_equal_rows_are_fitted_as_one_with_their_count(spark, monkeypatch):
+    r = random.Random(6)
+    points = [(float(r.randrange(4)), float(r.randrange(3))) for _ in range(200)]
+    rows = spark.createDataFrame([(f"S1-{k % 40}", f"S2-{k}", a, b, int(a > 1) if k % 9 else 0) for k, (a, b) in enumerate(points)], f"{S} string, {C} string, a double, b double, label int")
+    fitted, fit = [], model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, data: fitted.append(data.count()) or fit(self, data))
+    found = model.out_of_fold(rows, 2, model.Trees(2, 2), ["a", "b"])
+    assert found.count() == 200 and len(fitted) == 2 and max(fitted) <= 24
