@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: each stage filters, cleans or packs all that the one before it kept.
 
 All stages take null ids and null, empty and very long texts; repeated rows are rows of their own,
-other columns are kept until packing, and an empty table gives an empty one.
+other columns are kept until packing, and an empty table gives an empty one. Stages that hand whole documents to
+Python workers write what they return, since only then `settle` bounds the bytes that a worker gets at once.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     train = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
-    return toxicity.score_toxicity(docs, labels, train).where("predicted = 0").select(docs.columns)
+    return settle(toxicity.score_toxicity(docs, labels, train).where("predicted = 0").select(docs.columns), "stage")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with pseudonyms for its personal numbers and dates under the key in the session's settings. Null and empty texts stay as they are."""
-    return pseudonyms.pseudonymise(docs, pseudonyms.key_of(spark)).select(docs.columns)
+    return settle(pseudonyms.pseudonymise(docs, pseudonyms.key_of(spark)).select(docs.columns), "stage")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), "stage")
+        kept = stage(spark, docs, sf_dir)
+        docs = kept if hasattr(kept, "_kindred_path") else settle(kept, "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.components import components
 from kindred.llm.text import mix, shingle_sets
-from kindred.session import release, settle
+from kindred.session import lean, release, settle
 
 SKETCH_BITS, SLICES = 23, 64
 FLUSH = 1_000_000
@@ -90,7 +90,7 @@ def _classes(docs: DataFrame, width: int) -> DataFrame:
             where, packed = zip(*made, strict=True)
             yield _rows(np.ones(len(made), np.int32), list(where), [None] * len(made), [0] * len(made), list(packed))
 
-    return _texts(docs).mapInArrow(run, "kind int, a long, b long, n long, counts binary")
+    return _texts(docs).mapInArrow(lean(run), "kind int, a long, b long, n long, counts binary")
 
 
 def _rows(kind, a, b, n, counts) -> pa.RecordBatch:
@@ -159,7 +159,7 @@ def _prefixes(docs: DataFrame, width: int, percent: int, frequencies: np.ndarray
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((nodes, sizes, prefixes, signs), kinds, strict=True)], names=["node", "n", "tokens", "sign"])
 
-    return _texts(docs).mapInArrow(run, "node long, n long, tokens array<long>, sign array<long>")
+    return _texts(docs).mapInArrow(lean(run), "node long, n long, tokens array<long>, sign array<long>")
 
 
 def _bloom(keys: DataFrame, name: str):
@@ -195,7 +195,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
             node, n = (np.repeat(batch.column(k).to_numpy(zero_copy_only=False), sizes)[keep] for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(place[keep].astype(np.int32)), pa.array(node), pa.array(n)], names=["token", "place", "node", "n"])
 
-    rows = prefixes.select("node", "n", "tokens").mapInArrow(run, "token long, place int, node long, n long")
+    rows = prefixes.select("node", "n", "tokens").mapInArrow(lean(run), "token long, place int, node long, n long")
     return rows.join(met, "token", "left_semi").distinct()
 
 
@@ -213,7 +213,7 @@ def _sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
                     held.append(tokens.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(held, pa.binary())], names=["node", "tokens"])
 
-    found = _texts(docs).mapInArrow(run, "node long, tokens binary").join(wanted, "node", "left_semi")
+    found = _texts(docs).mapInArrow(lean(run), "node long, tokens binary").join(wanted, "node", "left_semi")
     return found.groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
@@ -239,7 +239,7 @@ def _verified(docs: DataFrame, width: int, percent: int, pairs: DataFrame) -> Da
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return settle(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    return settle(both.select("a", "b", "ta", "tb").mapInArrow(lean(run), "a long, b long"), "links")
 
 
 def _need(percent: int, x: str, y: str):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.ranks import gapless
-from kindred.session import settle
+from kindred.session import lean, settle
 
 END_ID = 1
 CACHED = 200_000
@@ -126,7 +126,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, vocabulary: str | None =
             n = 5 + keep_ids
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows[:n], types[:n], strict=True)], names=names[:n])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, fields)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), fields)
 
 
 def best_fit_plan(counts: dict[int, int], caps: Capacities) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.fitting import one_row_each
 from kindred.llm.text import CHUNK_BYTES, SYMBOL_BITS, SYMBOLS, Counter64, Remembered, Spelled, buffers, chunks, words
-from kindred.session import settle
+from kindred.session import lean, settle, small_batches
 
 ORDER = 4
 #: Words speak for a toxic text by what their log-likelihoods differ beyond these, so that chance differences of many words don't add up.
@@ -109,7 +109,7 @@ def _counted(sample: DataFrame) -> DataFrame:
                 text = [piece[a:b].tobytes().decode() for a, b in zip(starts[first], ends[first], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(text, pa.string()), *map(pa.array, each.T.astype(np.int64))], names=["key", "word", *COUNTS])
 
-    rows = sample.select("text", "toxic", "fold").mapInArrow(run, fields)
+    rows = sample.select("text", "toxic", "fold").mapInArrow(lean(run), fields)
     return rows.groupBy("key").agg(F.any_value("word").alias("word"), *[F.sum(c).alias(c) for c in COUNTS])
 
 
@@ -145,7 +145,7 @@ def _grams(vocabulary: DataFrame) -> DataFrame:
                     full[at] = codes[at]
                 yield rows(0, full, counts[owner])
 
-    return vocabulary.select("word", *COUNTS).mapInArrow(run, fields).groupBy("level", "code").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return vocabulary.select("word", *COUNTS).mapInArrow(lean(run), fields).groupBy("level", "code").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def _numbers(table: pa.Table, names: list[str]) -> np.ndarray:
@@ -264,7 +264,8 @@ def train_model(sample: DataFrame) -> Model | None:
                 x[fold == k] = comparisons(held[k][0], batch.column(0).filter(pa.array(fold == k)), held[k][1])
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    rows = sample.select("text", "toxic", "fold").mapInArrow(run, "x array<double>, toxic int").toArrow()
+    with small_batches(sample.sparkSession):
+        rows = sample.select("text", "toxic", "fold").mapInArrow(lean(run), "x array<double>, toxic int").toArrow()
     shared.unpersist()
     # Summed in one order, so that the weights don't depend on how the rows were dealt.
     x, y = np.array(rows["x"].to_pylist()), rows["toxic"].to_numpy().astype(float)
@@ -308,4 +309,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, max_toxic:
             columns = [*batch.columns, pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score", "predicted"])
 
-    return docs.select(kept).mapInArrow(run, fields)
+    return docs.select(kept).mapInArrow(lean(run), fields)

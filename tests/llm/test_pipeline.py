@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_operators import plain_components, plain_hits, texts_of, twice
 
 import corpus_pipeline
+from kindred import session
 from kindred.llm import packing, pseudonyms
 
 ITEMS = [(1, "anis sted stly " * 5), (2, "one two"), (3, ""), (4, None)]
@@ -114,3 +115,17 @@ def test_empty_tables(spark, folder, docs, tmp_path):
         (table if name == "documents" else table.limit(0)).write.parquet(f"{tmp_path}/{name}.parquet")
     for _, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2]):
         assert rows_of(stage(spark, docs, str(tmp_path))) == rows_of(docs)
+
+
+def test_batches_of_whole_documents_are_bounded(spark, folder, docs):
+    # What `settle` has written came to the workers in small batches; a frame that the caller writes would not.
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.hide_personal_data):
+        assert getattr(stage(spark, docs, folder), "_kindred_path", None)
+
+
+def test_a_worker_gives_memory_back_at_its_end(monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(session.ctypes, "CDLL", lambda _: type("C", (), {"malloc_trim": staticmethod(trimmed.append)}))
+    rows = session.lean(iter)([1, 2])
+    assert next(rows) == 1 and not trimmed
+    assert list(rows) == [2] and trimmed == [0]
