@@ -472,6 +472,21 @@ def test_keys_with_many_pairs_are_joined_in_blocks(spark, entities, monkeypatch)
     assert placed[0].where("parts_s > 1 and parts_v > 1").count() > 1
 
 
+def test_rows_of_texts_are_compared_as_one_by_one():
+    r = random.Random(4)
+    make = lambda: "".join(r.choice("ab c0é\0") for _ in range(r.choice([0, 1, 2, 3, 9, 20, 40, 60, 70]))).encode()
+    a, b = ([make() for _ in range(6000)] for _ in "ab")
+    a, b = a + a[:50] + [b"\0", b"a" * 64], b + b[:50] + [b"a", b"b" * 63 + b"a"]
+    assert similarity.jaro_winkler_rows(a, b).tolist() == [similarity.jaro_winkler(x, y) for x, y in zip(a, b, strict=True)]
+    assert similarity.jaro_winkler_rows([], []).tolist() == []
+
+
+def test_pairs_are_scored_without_a_shuffle_of_pairs(spark, entities):
+    s, v = (entities([(f"{p}-{k}", "Oak Inc", f"{k % 2} A Street") for k in range(4)]) for p in ("S1", "S2"))
+    scored = blocking.scored_candidates(blocking.blocking_keys(s, S), blocking.blocking_keys(v, "vendor_entity_id"))
+    assert scored.count() == 16 and scored._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_equal_texts_are_normalised_once(spark, entities, monkeypatch):
     rows = [("S1-1", "Oak Inc", "1 A Street"), ("S1-2", "Oak Inc", "1 A Street"), ("S1-3", None, ""), ("S1-4", None, None), ("S1-5", "Elm", None)]
     s, v = entities(rows), entities([(f"S2-{i}", n, a) for i, n, a in rows[1:] + rows[:2]])
