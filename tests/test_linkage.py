@@ -502,6 +502,7 @@ def test_equal_texts_are_normalised_once(spark, entities, monkeypatch):
 #: Queries and how many of the joins in their plans may send a table to all executors: the changes of the grid, 570 rows at most, and the ids of a sample.
 SENT = {
     "candidates_top5": 0,
+    "acceptance_mask": 0,
 }
 
 
