@@ -503,6 +503,7 @@ def test_equal_texts_are_normalised_once(spark, entities, monkeypatch):
 SENT = {
     "candidates_top5": 0,
     "acceptance_mask": 0,
+    "features_fuzzy": 0,
     "labels": 0,
     "attach_attributes": 0,
     "macro_f05": 0,
