@@ -505,6 +505,7 @@ SENT = {
     "acceptance_mask": 0,
     "features_fuzzy": 0,
     "labels": 0,
+    "matches_beyond_candidates": 0,
     "attach_attributes": 0,
     "macro_f05": 0,
 }
