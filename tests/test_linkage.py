@@ -506,6 +506,7 @@ SENT = {
     "features_fuzzy": 0,
     "labels": 0,
     "matches_beyond_candidates": 0,
+    "relative_max": 0,
     "attach_attributes": 0,
     "macro_f05": 0,
 }
