@@ -508,6 +508,7 @@ SENT = {
     "matches_beyond_candidates": 0,
     "relative_max": 0,
     "attach_attributes": 0,
+    "features_builtin": 0,
     "macro_f05": 0,
 }
 
