@@ -510,6 +510,7 @@ SENT = {
     "attach_attributes": 0,
     "features_builtin": 0,
     "macro_f05": 0,
+    "oof_scores": 0,
 }
 
 
