@@ -511,6 +511,7 @@ SENT = {
     "features_builtin": 0,
     "macro_f05": 0,
     "oof_scores": 0,
+    "threshold_sweep": 1,
 }
 
 
