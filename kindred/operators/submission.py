@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.selection import accepted
+from kindred.session import shuffled
 
 ID = "source1_entity_id"
 
@@ -14,7 +15,7 @@ def id_lists(ids: DataFrame, pairs: DataFrame, column: str, source_column: str =
     """For each distinct entity_id, its distinct candidate ids, sorted; '' where it has none."""
     lists = pairs.groupBy(F.col(ID).alias(source_column)).agg(F.array_join(F.sort_array(F.collect_set("candidate_entity_id")), ",").alias(column))
     every = ids.select(F.col("entity_id").alias(source_column)).distinct()
-    return every.join(lists, source_column, "left").select(source_column, F.coalesce(column, F.lit("")).alias(column))
+    return every.join(shuffled(lists), source_column, "left").select(source_column, F.coalesce(column, F.lit("")).alias(column))
 
 
 def candidate_submission(ids: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -512,6 +512,7 @@ SENT = {
     "macro_f05": 0,
     "oof_scores": 0,
     "threshold_sweep": 1,
+    "candidate_submission": 0,
 }
 
 
