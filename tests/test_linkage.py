@@ -514,6 +514,7 @@ SENT = {
     "threshold_sweep": 1,
     "candidate_submission": 0,
     "match_submission": 0,
+    "select_threshold": 0,
 }
 
 
