@@ -513,6 +513,7 @@ SENT = {
     "oof_scores": 0,
     "threshold_sweep": 1,
     "candidate_submission": 0,
+    "features_jaro_winkler": 0,
     "match_submission": 0,
     "select_threshold": 0,
     "validate_submission": 0,
