@@ -517,6 +517,7 @@ SENT = {
     "match_submission": 0,
     "select_threshold": 0,
     "validate_submission": 0,
+    "group_folds": 0,
 }
 
 
