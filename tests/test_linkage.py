@@ -518,6 +518,7 @@ SENT = {
     "select_threshold": 0,
     "validate_submission": 0,
     "group_folds": 0,
+    "micro_f05": 0,
 }
 
 
