@@ -519,6 +519,7 @@ SENT = {
     "validate_submission": 0,
     "group_folds": 0,
     "micro_f05": 0,
+    "sensitivity_report": 1,
 }
 
 
